@@ -7,14 +7,14 @@ a table, so it can be saved and applied later.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.functions import missing_as_text
-from tabloom.operators.lookup import MAX_ROWS, Lookup, attach, settle
+from tabloom.operators.lookup import MAX_ROWS, Lookup, Search, look_up, settle
 from tabloom.operators.ranks import range_offsets
 from tabloom.session import materialise, shuffle_width
 
@@ -35,8 +35,23 @@ def _unpivot(
     return long.withColumn("col", position).filter(F.col("val").isNotNull())
 
 
-def _per_column(fitted: Lookup, position: int) -> Lookup:
-    return fitted.where(F.col("col") == position).on("val")
+def _add_per_column(
+    df: DataFrame,
+    fitted: Lookup,
+    cols: Sequence[str],
+    values: Sequence[str],
+    out: Sequence[str],
+    build: Callable[[dict[str, Column]], Column],
+    fill: bool = True,
+) -> DataFrame:
+    """Look every category column up and add what ``build`` makes of the values."""
+    searches = []
+    for i, c in enumerate(cols):
+        text = F.col(f"`{c}`").cast("string")
+        key = missing_as_text(text) if fill else text
+        searches.append(Search(fitted.pick("col", i, "val"), (key,), tuple(values)))
+    joined, found, helpers = look_up(df, searches)
+    return joined.withColumns({o: build(f) for o, f in zip(out, found)}).drop(*helpers)
 
 
 class FrequencyEncoder:
@@ -70,10 +85,16 @@ class FrequencyModel:
     fitted: Lookup
 
     def transform(self, df: DataFrame) -> DataFrame:
-        for i, c in enumerate(self.cols):
-            key = F.col(f"`{c}`").cast("string")
-            df = attach(df, _per_column(self.fitted, i), [key], {"share": f"{c}{self.suffix}"})
-        return df.na.fill(0.0, subset=[f"{c}{self.suffix}" for c in self.cols])
+        out = [f"{c}{self.suffix}" for c in self.cols]
+        return _add_per_column(
+            df,
+            self.fitted,
+            self.cols,
+            ["share"],
+            out,
+            lambda found: F.coalesce(found["share"], F.lit(0.0)),
+            fill=False,
+        )
 
 
 class LabelEncoder:
@@ -131,12 +152,10 @@ class LabelModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace each column by its code, or add the code under a suffix."""
-        for i, c in enumerate(self.cols):
-            key = missing_as_text(F.col(f"`{c}`"))
-            out = f"{c}{self.suffix}"
-            df = attach(df, _per_column(self.fitted, i), [key], {"code": out})
-            df = df.withColumn(out, F.col(f"`{out}`").cast("int"))
-        return df
+        out = [f"{c}{self.suffix}" for c in self.cols]
+        return _add_per_column(
+            df, self.fitted, self.cols, ["code"], out, lambda found: found["code"].cast("int")
+        )
 
 
 def _target_counts(
@@ -152,7 +171,7 @@ def _target_counts(
 
 def _by_category(counts: DataFrame) -> DataFrame:
     """One row per (col, val): totals, and a map fold -> (n, s)."""
-    entry = F.struct(F.col("fold"), F.struct("n", "s"))
+    entry = F.struct(F.col("fold").cast("string"), F.struct("n", "s"))
     return counts.groupBy("col", "val").agg(
         F.sum("n").alias("n_rows"),
         F.sum("s").alias("n_pos"),
@@ -211,17 +230,17 @@ class TargetModel:
 
     def transform(self, df: DataFrame, split_col: str = "split") -> DataFrame:
         in_train = F.col(split_col).eqNullSafe(F.lit(TRAIN))
-        fold = F.col(self.spec.fold_col).cast("int")
-        for i, c in enumerate(self.spec.cols):
-            key = missing_as_text(F.col(f"`{c}`"))
-            names = {"full": "__full", "held_out": "__held_out"}
-            df = attach(df, _per_column(self.fitted, i), [key], names)
-            encoded = F.when(in_train, F.try_element_at("__held_out", fold)).otherwise(
-                F.col("__full")
-            )
-            out = f"{c}{self.spec.suffix}"
-            df = df.withColumn(out, F.coalesce(encoded, F.lit(self.overall))).drop(*names.values())
-        return df
+        fold = F.col(self.spec.fold_col).cast("string")
+
+        def encoded(found: dict[str, Column]) -> Column:
+            held_out = F.try_element_at(found["held_out"], fold)
+            value = F.when(in_train, held_out).otherwise(found["full"])
+            return F.coalesce(value, F.lit(self.overall))
+
+        out = [f"{c}{self.spec.suffix}" for c in self.spec.cols]
+        return _add_per_column(
+            df, self.fitted, self.spec.cols, ["full", "held_out"], out, encoded
+        )
 
 
 class WoeEncoder:
@@ -256,7 +275,7 @@ class WoeEncoder:
             F.col("n_rows"), F.col("n_pos"), F.col("all_n"), F.col("all_s"), F.col("k")
         )
         table = per_category.join(F.broadcast(totals), "col")
-        held_out = F.lit(None).cast("map<int,double>")
+        held_out = F.lit(None).cast("map<string,double>")
         if self.fold_col:
             table = table.join(F.broadcast(self._fold_totals(counts, per_category)), "col")
             held_out = F.transform_values("fold_totals", self._held_out)
@@ -288,14 +307,14 @@ class WoeEncoder:
         sums = counts.groupBy("col", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
         confined = (
             per_category.filter(F.size("per_fold") == 1)
-            .select("col", F.element_at(F.map_keys("per_fold"), 1).alias("fold"))
+            .select("col", F.element_at(F.map_keys("per_fold"), 1).cast("int").alias("fold"))
             .groupBy("col", "fold")
             .agg(F.count(F.lit(1)).alias("n_confined"))
         )
         categories = per_category.groupBy("col").agg(F.count(F.lit(1)).alias("n_categories"))
         rows = sums.join(confined, ["col", "fold"], "left").join(categories, "col")
         k = F.col("n_categories") - F.coalesce(F.col("n_confined"), F.lit(0))
-        entry = F.struct(F.col("fold"), F.struct("n", "s", k.alias("k")))
+        entry = F.struct(F.col("fold").cast("string"), F.struct("n", "s", k.alias("k")))
         return rows.groupBy("col").agg(
             F.map_from_entries(F.collect_list(entry)).alias("fold_totals")
         )
@@ -308,17 +327,17 @@ class WoeModel:
 
     def transform(self, df: DataFrame, split_col: str = "split") -> DataFrame:
         """Add the encodings; an unseen category gets 0."""
-        names = {"full": "__full", "held_out": "__held_out"}
-        for i, c in enumerate(self.spec.cols):
-            key = missing_as_text(F.col(f"`{c}`"))
-            df = attach(df, _per_column(self.fitted, i), [key], names)
-            encoded = F.col("__full")
+        out = [f"{c}{self.spec.suffix}" for c in self.spec.cols]
+
+        def encoded(found: dict[str, Column]) -> Column:
+            value = found["full"]
             if self.spec.fold_col:
-                fold = F.col(self.spec.fold_col).cast("int")
-                encoded = F.when(
-                    F.col(split_col).eqNullSafe(F.lit(TRAIN)),
-                    F.try_element_at("__held_out", fold),
-                ).otherwise(encoded)
-            out = f"{c}{self.spec.suffix}"
-            df = df.withColumn(out, F.coalesce(encoded, F.lit(0.0))).drop(*names.values())
-        return df
+                fold = F.col(self.spec.fold_col).cast("string")
+                in_train = F.col(split_col).eqNullSafe(F.lit(TRAIN))
+                held_out = F.try_element_at(found["held_out"], fold)
+                value = F.when(in_train, held_out).otherwise(value)
+            return F.coalesce(value, F.lit(0.0))
+
+        return _add_per_column(
+            df, self.fitted, self.spec.cols, ["full", "held_out"], out, encoded
+        )

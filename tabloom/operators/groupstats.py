@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import missing_as_text, numeric
-from tabloom.operators.lookup import Lookup, attach, settle
+from tabloom.operators.lookup import Lookup, Search, look_up, settle
 from tabloom.operators.ranks import exact_medians
 
 TRAIN = "train"
@@ -88,23 +88,24 @@ class GroupStats:
         fitted = settle(table, [f"k_{k}" for k in key_cols])
         overall = fitted.table.filter(F.col("set_id") == len(key_sets)).first()
         means = {v: overall[f"mean_{v}"] if overall else None for v in values}
-        medians = {
-            block.keys: _median_lookup(train, block)
-            for block in self.blocks
-            if "median" in block.stats
-        }
-        return GroupStatsModel(self.blocks, key_sets, fitted, means, medians)
+        wanted = [block for block in self.blocks if "median" in block.stats]
+        medians = _medians(train, wanted) if wanted else None
+        median_sets = [block.keys for block in wanted]
+        return GroupStatsModel(self.blocks, key_sets, fitted, means, medians, median_sets)
 
 
-def _median_lookup(train: DataFrame, block: StatBlock) -> Lookup:
-    """Medians of all the block's values, one row per key."""
-    keys = [f"k_{k}" for k in block.keys]
+def _medians(train: DataFrame, blocks: Sequence[StatBlock]) -> Lookup:
+    """Medians of all values for the key sets of all blocks, in one table."""
     scope = {f.name: f.dataType for f in train.schema.fields}
+    key_cols = list(dict.fromkeys(k for block in blocks for k in block.keys))
+    values = list(dict.fromkeys(v for block in blocks for v in block.values))
     base = train.select(
-        *[missing_as_text(F.col(f"`{k}`")).alias(f"k_{k}") for k in block.keys],
-        *[numeric(F.col(f"`{v}`"), scope[v]).alias(v) for v in block.values],
+        *[missing_as_text(F.col(f"`{k}`")).alias(f"k_{k}") for k in key_cols],
+        *[numeric(F.col(f"`{v}`"), scope[v]).alias(v) for v in values],
     )
-    return settle(exact_medians(base, keys, block.values), keys)
+    key_sets = [[f"k_{k}" for k in block.keys] for block in blocks]
+    keys = [f"key{i}" for i in range(max(len(k) for k in key_sets))]
+    return settle(exact_medians(base, key_sets, values), ["set_id", *keys])
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,8 @@ class GroupStatsModel:
     key_sets: list[list[str]]
     fitted: Lookup
     train_means: dict[str, float | None]
-    medians: dict[tuple[str, ...], Lookup]
+    medians: Lookup | None
+    median_sets: list[tuple[str, ...]]
 
     @property
     def names(self) -> list[str]:
@@ -127,54 +129,56 @@ class GroupStatsModel:
     def transform(self, df: DataFrame, split_col: str = "split") -> DataFrame:
         """Add the statistics. Training rows keep NULL where their whole group
         lacks the value; other rows get the default."""
+        scope = {f.name: f.dataType for f in df.schema.fields}
+        joined, found, helpers = look_up(
+            df, [search for block in self.blocks for search in self._searches(block)]
+        )
+        results = iter(found)
+        added: dict[str, Column] = {}
         for block in self.blocks:
-            on = [missing_as_text(F.col(f"`{k}`")) for k in block.keys]
-            position = self.key_sets.index(list(block.keys))
-            table = self.fitted.where(F.col("set_id") == position).on(
-                *[f"k_{k}" for k in block.keys]
-            )
-            wanted = [s for s in block.stats if s != "median"]
-            if block.deviation and "mean" not in wanted:
-                wanted.append("mean")
-            df = attach(
-                df, table, on, {f"{s}_{v}": f"__{s}_{v}" for v in block.values for s in wanted}
-            )
+            values = next(results)
             if "median" in block.stats:
-                df = attach(
-                    df,
-                    self.medians[block.keys],
-                    on,
-                    {f"median_{v}": f"__median_{v}" for v in block.values},
-                )
-            df = self._finish(df, block, split_col)
-        return df
+                values = values | next(results)
+            added |= self._columns(block, values, scope, split_col)
+        return joined.withColumns(added).drop(*helpers)
+
+    def _searches(self, block: StatBlock) -> list[Search]:
+        on = tuple(missing_as_text(F.col(f"`{k}`")) for k in block.keys)
+        of_keys = self.fitted.pick(
+            "set_id", self.key_sets.index(list(block.keys)), *[f"k_{k}" for k in block.keys]
+        )
+        stats = [s for s in ("mean", "std") if s in block.stats or (s == "mean" and block.deviation)]
+        searches = [Search(of_keys, on, tuple(f"{s}_{v}" for v in block.values for s in stats))]
+        if "median" in block.stats:
+            of_medians = self.medians.pick(
+                "set_id",
+                self.median_sets.index(block.keys),
+                *[f"key{i}" for i in range(len(block.keys))],
+            )
+            searches.append(Search(of_medians, on, tuple(f"median_{v}" for v in block.values)))
+        return searches
 
-    def _finish(self, df: DataFrame, block: StatBlock, split_col: str) -> DataFrame:
+    def _columns(
+        self, block: StatBlock, found: dict[str, Column], scope: dict, split_col: str
+    ) -> dict[str, Column]:
         fitted_row = F.lit(False)
-        if split_col in df.columns and block.unseen == "train_mean":
+        if split_col in scope and block.unseen == "train_mean":
             fitted_row = F.col(split_col).eqNullSafe(F.lit(TRAIN))
-        scope = {f.name: f.dataType for f in df.schema.fields}
-        added: list[Column] = []
+        added: dict[str, Column] = {}
         for v in block.values:
             default = self.train_means[v] if block.unseen == "train_mean" else 0.0
-            mean = F.col(f"__mean_{v}") if f"__mean_{v}" in scope else None
+            mean = found.get(f"mean_{v}")
             if mean is not None:
-                mean = F.when(fitted_row, mean).otherwise(
-                    F.coalesce(mean, F.lit(default).cast("double"))
-                )
+                filled = F.coalesce(mean, F.lit(default).cast("double"))
+                mean = F.when(fitted_row, mean).otherwise(filled)
             for stat in block.stats:
-                column = (
-                    mean
-                    if stat == "mean"
-                    else F.coalesce(F.col(f"__{stat}_{v}"), F.lit(0.0))
+                added[f"{block.prefix(v)}_{stat}"] = (
+                    mean if stat == "mean" else F.coalesce(found[f"{stat}_{v}"], F.lit(0.0))
                 )
-                added.append(column.alias(f"{block.prefix(v)}_{stat}"))
             if block.deviation:
                 value = numeric(F.col(f"`{v}`"), scope[v])
-                added.append((value - mean).alias(f"{block.prefix(v)}_diff"))
-        temporary = {f"__{s}_{v}" for s in ("mean", "std", "median") for v in block.values}
-        kept = [F.col(f"`{c}`") for c in df.columns if c not in temporary]
-        return df.select(*kept, *added)
+                added[f"{block.prefix(v)}_diff"] = value - mean
+        return added
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:

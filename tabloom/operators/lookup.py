@@ -1,23 +1,28 @@
-"""Join a table of unique keys to any number of rows.
-
-Fitted statistics and dictionaries are tables with one row per key. Whether
-such a table may be broadcast is decided by its measured size: ``settle``
-reads at most a fixed number of rows, and only a table proven to fit becomes
-a local relation that is broadcast. A larger table is joined by key with its
-heaviest keys taken out: a key holding at least 1/HOT_KEYS of the fitted rows
-can occur at most HOT_KEYS times in the table, so that part has a proven
-bound and is broadcast, while the rows of those keys are spread over many
-partitions of the remaining join.
+"""Look values up in a table of unique keys, for any number of rows.
+
+Fitted statistics and dictionaries are tables with one row per key. How such a
+table meets the rows is decided by its measured size: ``settle`` reads at most
+a fixed number of rows of it, and
+
+* a handful of keys becomes a constant map inside the projection,
+* a table proven to fit becomes a local relation that is broadcast,
+* a larger one is joined by key with its heaviest keys taken out: a key
+  holding at least 1/HOT_KEYS of the fitted rows can occur at most HOT_KEYS
+  times in the table, so that part has a proven bound and is broadcast, while
+  the rows of those keys are spread over many partitions of the other join.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
+from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +32,8 @@ from tabloom.session import materialise
 # Bounds of what may be broadcast.
 MAX_ROWS = 100_000
 MAX_BYTES = 32 * 1024 * 1024
+# Up to this many keys a scan of a constant map is as fast as a hash lookup.
+CONSTANT_KEYS = 32
 # Keys with at least this share (1/HOT_KEYS) of all rows are treated apart.
 HOT_KEYS = 1024
 # Partitions over which the rows of a hot key are spread.
@@ -35,18 +42,44 @@ HOT_SPREAD = 256
 
 @dataclass(frozen=True)
 class Lookup:
-    """A table with unique ``keys``; ``weight`` counts the fitted rows per key."""
+    """A table with unique ``keys``; ``weight`` counts the fitted rows per key.
+
+    ``local`` holds the rows of a table that was proven small.
+    """
 
     table: DataFrame
     keys: tuple[str, ...]
     weight: str
-    small: bool
+    local: pa.Table | None = None
+
+    @property
+    def small(self) -> bool:
+        return self.local is not None
+
+    @property
+    def constant(self) -> bool:
+        """Whether the table can be a constant map keyed by text."""
+        if self.local is None or self.local.num_rows > CONSTANT_KEYS:
+            return False
+        plain = (T.StringType, T.IntegerType, T.LongType)
+        return all(isinstance(self.table.schema[k].dataType, plain) for k in self.keys)
 
-    def where(self, condition: Column) -> Lookup:
-        return Lookup(self.table.filter(condition), self.keys, self.weight, self.small)
+    def pick(self, column: str, value: Any, *keys: str) -> Lookup:
+        """The rows where ``column`` has a value, under other keys."""
+        local = self.local
+        if local is not None:
+            local = local.filter(pc.equal(local[column], value))
+        table = self.table.filter(F.col(column) == F.lit(value))
+        return Lookup(table, keys, self.weight, local)
+
+
+@dataclass(frozen=True)
+class Search:
+    """Look the ``on`` columns up and get the ``values`` columns of the table."""
 
-    def on(self, *keys: str) -> Lookup:
-        return Lookup(self.table, keys, self.weight, self.small)
+    lookup: Lookup
+    on: tuple[Column, ...]
+    values: tuple[str, ...]
 
 
 def settle(
@@ -62,8 +95,8 @@ def settle(
     head: pa.Table = table.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows and head.nbytes <= max_bytes:
         local = table.sparkSession.createDataFrame(head, schema=table.schema)
-        return Lookup(local, tuple(keys), weight, small=True)
-    return Lookup(materialise(table), tuple(keys), weight, small=False)
+        return Lookup(local, tuple(keys), weight, head)
+    return Lookup(materialise(table), tuple(keys), weight)
 
 
 def _columns_apart(table: DataFrame, keys: Sequence[str], values: Sequence[str], tag: str):
@@ -74,25 +107,69 @@ def _columns_apart(table: DataFrame, keys: Sequence[str], values: Sequence[str],
     )
 
 
+def look_up(
+    df: DataFrame, searches: Sequence[Search]
+) -> tuple[DataFrame, list[dict[str, Column]], list[str]]:
+    """Run several searches on the same rows.
+
+    Returns the rows with helper columns, for each search its values as
+    columns (NULL where the key is not found), and the helpers to drop.
+    """
+    columns = set(df.columns)
+    found: list[dict[str, Column]] = []
+    for i, search in enumerate(searches):
+        if search.lookup.constant:
+            found.append(_from_constant(search))
+        elif search.lookup.small:
+            side = _set_apart(search.lookup.table, search.lookup.keys, search.values, f"b{i}")
+            df = df.join(F.broadcast(side), _meets(search.on, f"b{i}"), "left")
+            found.append({v: F.col(f"__b{i}_val{j}") for j, v in enumerate(search.values)})
+        else:
+            df = _join_large(df, search, str(i))
+            found.append(
+                {
+                    v: F.when(F.col(f"__h{i}_hit"), F.col(f"__h{i}_val{j}")).otherwise(
+                        F.col(f"__c{i}_val{j}")
+                    )
+                    for j, v in enumerate(search.values)
+                }
+            )
+    return df, found, [c for c in df.columns if c not in columns]
+
+
 def attach(
-    df: DataFrame,
-    lookup: Lookup,
-    on: Sequence[Column],
-    values: dict[str, str],
+    df: DataFrame, lookup: Lookup, on: Sequence[Column], values: dict[str, str]
 ) -> DataFrame:
-    """Left join: add ``values`` (table column -> new name) where ``on`` meets the keys."""
-    if lookup.small:
-        side = _set_apart(lookup.table, lookup.keys, list(values), "b")
-        joined = df.join(F.broadcast(side), _meets(on, "b"), "left")
-        found = {new: F.col(f"__b_val{i}") for i, new in enumerate(values.values())}
-    else:
-        joined = _join_large(df, lookup, on, list(values))
-        found = {
-            new: F.when(F.col("__h_hit"), F.col(f"__h_val{i}")).otherwise(F.col(f"__c_val{i}"))
-            for i, new in enumerate(values.values())
-        }
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in found]
-    return joined.select(*kept, *[column.alias(new) for new, column in found.items()])
+    """Add values of a table (table column -> new name) where ``on`` meets the keys."""
+    joined, (found,), helpers = look_up(df, [Search(lookup, tuple(on), tuple(values))])
+    return joined.withColumns({new: found[old] for old, new in values.items()}).drop(*helpers)
+
+
+def _from_constant(search: Search) -> dict[str, Column]:
+    """Values from a map literal; two keys make a map of maps."""
+    entries: dict[str, Any] = {}
+    for row in search.lookup.local.to_pylist():
+        *outer, last = [row[k] for k in search.lookup.keys]
+        level = entries
+        for key in outer:
+            level = level.setdefault(str(key), {})
+        level[str(last)] = {f"v{j}": _plain(row[v]) for j, v in enumerate(search.values)}
+    schema = search.lookup.table.schema
+    fields = ",".join(
+        f"v{j}:{schema[v].dataType.simpleString()}" for j, v in enumerate(search.values)
+    )
+    kind = f"struct<{fields}>"
+    for _ in search.lookup.keys:
+        kind = f"map<string,{kind}>"
+    entry = F.from_json(F.lit(json.dumps(entries)), kind)
+    for column in search.on:
+        entry = F.try_element_at(entry, column.cast("string"))
+    return {v: entry[f"v{j}"] for j, v in enumerate(search.values)}
+
+
+def _plain(value: Any) -> Any:
+    """Maps arrive from Arrow as lists of pairs."""
+    return dict(value) if isinstance(value, list) else value
 
 
 def _set_apart(
@@ -111,29 +188,30 @@ def _meets(on: Sequence[Column], side: str) -> Column:
     return reduce(and_, pairs)
 
 
-def _join_large(
-    df: DataFrame, lookup: Lookup, on: Sequence[Column], values: Sequence[str]
-) -> DataFrame:
+def _join_large(df: DataFrame, search: Search, tag: str) -> DataFrame:
+    lookup = search.lookup
     table, weight = lookup.table, F.col(lookup.weight)
     total = table.agg(F.sum(weight)).scalar()
     is_hot = weight * F.lit(HOT_KEYS) >= total
-    hot = _set_apart(table.filter(is_hot), lookup.keys, values, "h")
-    cold = _set_apart(table.filter(~is_hot), lookup.keys, values, "c")
+    hot = _set_apart(table.filter(is_hot), lookup.keys, search.values, f"h{tag}")
+    cold = _set_apart(table.filter(~is_hot), lookup.keys, search.values, f"c{tag}")
 
-    rows = df.select("*", *[column.alias(f"__on{i}") for i, column in enumerate(on)])
-    on_cols = [F.col(f"__on{i}") for i in range(len(on))]
-    served = rows.join(F.broadcast(hot), _meets(on_cols, "h"), "left")
+    names = [f"__on{tag}_{i}" for i in range(len(search.on))]
+    rows = df.select("*", *[c.alias(name) for c, name in zip(search.on, names)])
+    on = [F.col(name) for name in names]
+    served = rows.join(F.broadcast(hot), _meets(on, f"h{tag}"), "left")
     # Rows already served by the hot side, and rows without a key, meet nothing
     # in the cold side. A salt no cold row has spreads them over partitions.
     # The salt is a hash of the row, so a recomputed task repeats it.
-    no_key = reduce(or_, [column.isNull() for column in on_cols])
+    no_key = reduce(or_, [column.isNull() for column in on])
     spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(HOT_SPREAD)).cast("int") + F.lit(1)
+    salt, cold_salt = f"__salt{tag}", f"__c{tag}_salt"
     salted = served.withColumn(
-        "__salt", F.when(F.col("__h_hit") | no_key, spread).otherwise(F.lit(0))
+        salt, F.when(F.col(f"__h{tag}_hit") | no_key, spread).otherwise(F.lit(0))
     )
-    same_salt = F.col("__salt") == F.col("__c_salt")
+    same_salt = F.col(salt) == F.col(cold_salt)
     return salted.join(
-        cold.withColumn("__c_salt", F.lit(0)), _meets(on_cols, "c") & same_salt, "left"
+        cold.withColumn(cold_salt, F.lit(0)), _meets(on, f"c{tag}") & same_salt, "left"
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import numeric
 from tabloom.operators import lookup as lookup_module
-from tabloom.operators.lookup import Lookup, attach, settle
+from tabloom.operators.lookup import Lookup, Search, attach, look_up, settle
 from tabloom.session import materialise, shuffle_width
 
 MIN_RANGES = 16
@@ -191,7 +191,7 @@ def _large_ranks(rows: DataFrame, by: Sequence[str], value: str) -> Lookup:
     ranked = value_positions(rows, by, value).select(
         *by, value, "n_rows", _average_rank().alias("pct")
     )
-    return Lookup(materialise(ranked), (*by, value), "n_rows", small=False)
+    return Lookup(materialise(ranked), (*by, value), "n_rows")
 
 
 def pct_rank(
@@ -266,10 +266,16 @@ def pct_ranks(df: DataFrame, specs: Sequence[RankSpec], id_col: str = "id") -> D
         df = df.join(
             _ranks_by_id(rows, many), F.col(f"`{id_col}`") == F.col("__id"), "left"
         ).drop("__id")
-    for i, spec in enumerate(few):
-        on = [group_cols[spec.by] if spec.by else F.lit(""), value_cols[spec.value]]
-        table = lookup.where(F.col("spec") == i).on("grp", "val")
-        df = attach(df, table, on, {"pct": spec.name})
+    searches = [
+        Search(
+            lookup.pick("spec", i, "grp", "val"),
+            (group_cols[spec.by] if spec.by else F.lit(""), value_cols[spec.value]),
+            ("pct",),
+        )
+        for i, spec in enumerate(few)
+    ]
+    df, found, helpers = look_up(df, searches)
+    df = df.withColumns({spec.name: f["pct"] for spec, f in zip(few, found)}).drop(*helpers)
     names = [s.name for s in specs]
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], *names)
 
@@ -307,27 +313,44 @@ def _ranks_by_id(rows: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
     )
 
 
-def exact_medians(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Exact median with linear interpolation of every value per key.
+def exact_medians(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], values: Sequence[str]
+) -> DataFrame:
+    """Exact median with linear interpolation of every value, for every key set.
 
-    Row counts per range say which ranges hold the middle rows of each group;
-    only the rows of those ranges are shuffled.
+    Gives ``set_id`` (position of the key set), ``key0``, ``key1``, ... (text,
+    empty beyond the set's keys), ``n_rows`` and ``median_<value>``. Row counts
+    per range say which ranges hold the middle rows of each group; only the
+    rows of those ranges are shuffled.
     """
-    ranges = range_count(df.sparkSession)
-    edges = quantile_edges(df, values, ranges)
+    edges = quantile_edges(df, values, range_count(df.sparkSession))
     ranged = df
     for i, v in enumerate(values):
         ranged = with_range(ranged, v, edges[v], f"__r{i}")
+    width = max(len(keys) for keys in key_sets)
+    key_names = [f"key{i}" for i in range(width)]
+
+    def key_entry(position: int) -> list[Column]:
+        keys = list(key_sets[position])
+        texts = [F.col(k).cast("string") for k in keys] + [F.lit("")] * (width - len(keys))
+        return [
+            F.lit(position).alias("set_id"),
+            *[text.alias(name) for text, name in zip(texts, key_names)],
+        ]
+
     entries = [
         F.struct(
+            *key_entry(position),
             F.lit(i).alias("item"),
             F.col(v).cast("double").alias("val"),
             F.col(f"__r{i}").alias("range_id"),
         )
+        for position in range(len(key_sets))
         for i, v in enumerate(values)
     ]
-    long = ranged.select(*keys, F.inline(F.array(*entries))).filter(F.col("val").isNotNull())
-    by = [*keys, "item"]
+    group = ["set_id", *key_names]
+    by = [*group, "item"]
+    long = ranged.select(F.inline(F.array(*entries))).filter(F.col("val").isNotNull())
     offsets = count_offsets(long, by)
 
     def holds_middle(first: Column, count: Column, total: Column) -> Column:
@@ -340,17 +363,18 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: Sequence[str]) ->
     near = long.join(
         F.broadcast(needed) if offsets.small else needed, [*by, "range_id"], "left_semi"
     )
-    placed = value_positions(near, by, "val", Lookup(needed, offsets.keys, "n_range", offsets.small))
+    placed = value_positions(near, by, "val", Lookup(needed, offsets.keys, "n_range", offsets.local))
     of_value = holds_middle(F.col("n_before"), F.col("n_rows"), F.col("n_total"))
     middle = placed.filter(of_value).groupBy(*by).agg(
         ((F.min("val") + F.max("val")) / 2.0).alias("median")
     )
-    found = middle.groupBy(*keys).agg(
+    found = middle.groupBy(*group).agg(
         *[
             F.max(F.when(F.col("item") == i, F.col("median"))).alias(f"median_{v}")
             for i, v in enumerate(values)
         ]
     )
     # Keys whose values are all missing keep a row, with NULL medians.
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.join(found, list(keys), "left")
+    keyed = df.select(F.inline(F.array(*[F.struct(*key_entry(i)) for i in range(len(key_sets))])))
+    counts = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(found, group, "left")

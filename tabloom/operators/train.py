@@ -24,7 +24,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.operators.folds import assign_folds
@@ -141,8 +141,9 @@ def assemble(
 
 def run_parallel(tasks: Sequence[Callable[[], Any]], workers: int = 4) -> list[Any]:
     """Run independent driver-side tasks, each of which starts Spark jobs."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
-        futures = [pool.submit(inheritable_thread_target(task)) for task in tasks]
+        futures = [pool.submit(inherit(task)) for task in tasks]
         return [future.result() for future in futures]
 
 
@@ -160,8 +161,8 @@ class CrossFit:
         return self.scores.filter(F.col("split") == "test")
 
 
-def _predict(model: Model, rows: DataFrame, **marks: Any) -> DataFrame:
-    scored = model.transform(rows)
+def _predict(fitted: Model, rows: DataFrame, **marks: Any) -> DataFrame:
+    scored = fitted.transform(rows)
     positive = vector_to_array(F.col("probability"))[1]
     return scored.select(
         "id",
@@ -306,11 +307,9 @@ def search_params(
 
 
 def importance_topk(
-    model: Model, names: Sequence[str], k: int, spark=None
+    model: Model, names: Sequence[str], k: int, spark: SparkSession | None = None
 ) -> DataFrame:
     """The k features a tree model relies on most: (feature, importance)."""
-    from pyspark.sql import SparkSession
-
     spark = spark or SparkSession.getActiveSession()
     values = model.featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(names, values)]
