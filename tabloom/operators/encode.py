@@ -205,7 +205,8 @@ class TargetEncoder:
         g, m = F.lit(overall).cast("double"), F.lit(self.smoothing)
 
         def smooth(s: Column, n: Column) -> Column:
-            return (s + g * m) / (n + m)
+            # Without smoothing a category found in no other fold has no mean.
+            return F.try_divide(s + g * m, n + m)
 
         table = counts.select(
             "col",
@@ -284,9 +285,9 @@ class WoeEncoder:
 
     def _woe(self, n: Column, s: Column, all_n: Column, all_s: Column, k: Column) -> Column:
         a = F.lit(self.alpha)
-        others = (n - s + a) / (all_n - all_s + a * k)
-        events = (s + a) / (all_s + a * k)
-        return F.log(others / events)
+        others = F.try_divide(n - s + a, all_n - all_s + a * k)
+        events = F.try_divide(s + a, all_s + a * k)
+        return F.log(F.try_divide(others, events))
 
     def _held_out(self, fold: Column, total: Column) -> Column:
         """WoE of a category over the rows outside ``fold``."""
