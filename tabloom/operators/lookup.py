@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.session import materialise
+from tabloom.session import materialise, shuffle_width
 
 # Bounds of what may be broadcast.
 MAX_ROWS = 100_000
@@ -36,7 +36,7 @@ MAX_BYTES = 32 * 1024 * 1024
 CONSTANT_KEYS = 32
 # Keys with at least this share (1/HOT_KEYS) of all rows are treated apart.
 HOT_KEYS = 1024
-# Partitions over which the rows of a hot key are spread.
+# The rows of a hot key are spread over at least this many partitions.
 HOT_SPREAD = 256
 
 
@@ -204,14 +204,18 @@ def _join_large(df: DataFrame, search: Search, tag: str) -> DataFrame:
     # in the cold side. A salt no cold row has spreads them over partitions.
     # The salt is a hash of the row, so a recomputed task repeats it.
     no_key = reduce(or_, [column.isNull() for column in on])
-    spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(HOT_SPREAD)).cast("int") + F.lit(1)
+    width = max(HOT_SPREAD, shuffle_width(df.sparkSession))
+    spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(width)) + F.lit(1)
     salt, cold_salt = f"__salt{tag}", f"__c{tag}_salt"
     salted = served.withColumn(
         salt, F.when(F.col(f"__h{tag}_hit") | no_key, spread).otherwise(F.lit(0))
     )
+    # Always 0, but not a constant to the optimizer: a constant would turn the
+    # salt into a filter and leave it out of the partitioning.
+    zero = F.pmod(F.xxhash64(*[f"__c{tag}_key{i}" for i in range(len(on))]), F.lit(1))
     same_salt = F.col(salt) == F.col(cold_salt)
     return salted.join(
-        cold.withColumn(cold_salt, F.lit(0)), _meets(on, f"c{tag}") & same_salt, "left"
+        cold.withColumn(cold_salt, zero), _meets(on, f"c{tag}") & same_salt, "left"
     )
 
 

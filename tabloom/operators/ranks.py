@@ -263,8 +263,9 @@ def pct_ranks(df: DataFrame, specs: Sequence[RankSpec], id_col: str = "id") -> D
         few = []
     many = [s for s in specs if s not in few]
     if many:
+        # Four passes follow over these few columns of what may be a long query.
         df = df.join(
-            _ranks_by_id(rows, many), F.col(f"`{id_col}`") == F.col("__id"), "left"
+            _ranks_by_id(materialise(rows), many), F.col(f"`{id_col}`") == F.col("__id"), "left"
         ).drop("__id")
     searches = [
         Search(
@@ -319,9 +320,10 @@ def exact_medians(
     """Exact median with linear interpolation of every value, for every key set.
 
     Gives ``set_id`` (position of the key set), ``key0``, ``key1``, ... (text,
-    empty beyond the set's keys), ``n_rows`` and ``median_<value>``. Row counts
-    per range say which ranges hold the middle rows of each group; only the
-    rows of those ranges are shuffled.
+    empty beyond the set's keys), ``n_rows`` and ``median_<value>``; a key whose
+    values are all missing has no row. Row counts per range say which ranges
+    hold the middle rows of each group; only the rows of those ranges are
+    shuffled.
     """
     edges = quantile_edges(df, values, range_count(df.sparkSession))
     ranged = df
@@ -366,15 +368,12 @@ def exact_medians(
     placed = value_positions(near, by, "val", Lookup(needed, offsets.keys, "n_range", offsets.local))
     of_value = holds_middle(F.col("n_before"), F.col("n_rows"), F.col("n_total"))
     middle = placed.filter(of_value).groupBy(*by).agg(
-        ((F.min("val") + F.max("val")) / 2.0).alias("median")
+        ((F.min("val") + F.max("val")) / 2.0).alias("median"), F.max("n_total").alias("n_total")
     )
-    found = middle.groupBy(*group).agg(
+    return middle.groupBy(*group).agg(
+        F.max("n_total").alias("n_rows"),
         *[
             F.max(F.when(F.col("item") == i, F.col("median"))).alias(f"median_{v}")
             for i, v in enumerate(values)
-        ]
+        ],
     )
-    # Keys whose values are all missing keep a row, with NULL medians.
-    keyed = df.select(F.inline(F.array(*[F.struct(*key_entry(i)) for i in range(len(key_sets))])))
-    counts = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.join(found, group, "left")

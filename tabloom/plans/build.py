@@ -16,6 +16,7 @@ from tabloom.operators.ranks import pct_ranks
 from tabloom.operators.scale import ClusterFeatures
 from tabloom.plans.plan import FeaturePlan
 from tabloom.plans.subscription import NUMBERS, ROW_FEATURES
+from tabloom.session import keep_code_compilable
 
 KEYS = ("id", "split", "fold", "source", "weight")
 
@@ -42,6 +43,7 @@ def build_features(
     ranks, which are defined over all rows. ``fold`` is the fold used for
     target encoding.
     """
+    keep_code_compilable(frame.sparkSession)
     keys = [c for c in (*KEYS, target) if c in frame.columns]
     raw = [c for c in frame.columns if c not in keys]
     df = coerce_numeric(frame, [c for c in numbers if c in raw])

@@ -9,6 +9,9 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+METHOD_LIMIT_DEFAULT = "65535"
+
 
 def local_session(cores: str | int = "*", app: str = "tabloom", **conf: str) -> SparkSession:
     """A session for tests and bench. On a cluster the caller brings its own."""
@@ -31,6 +34,17 @@ def local_session(cores: str | int = "*", app: str = "tabloom", **conf: str) ->
     return spark
 
 
+def keep_code_compilable(spark: SparkSession) -> None:
+    """Have Spark split generated methods the JVM would refuse to compile.
+
+    HotSpot never compiles a method above 8000 bytes of bytecode. A projection
+    of a hundred features fused into one method exceeds that and would run
+    interpreted, several times slower. A limit set by the user is kept.
+    """
+    if spark.conf.get(METHOD_LIMIT) == METHOD_LIMIT_DEFAULT:
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The shared folder the cluster names, or None.
 

@@ -220,3 +220,29 @@ def test_cluster_distances(spark):
         want = np.linalg.norm(part - part.mean(0), axis=1)
         got = out.cluster_3_dist.to_numpy()[g * 60 : (g + 1) * 60]
         np.testing.assert_allclose(got, want, atol=1e-6)
+
+
+def test_hot_keys_are_spread(spark, tiny_bounds):
+    """The salt is part of the partitioning, and rows of a hot key end up in
+    many partitions of the join."""
+    _, df = skewed(spark)
+    model = GroupStats([StatBlock(("k",), ("v",))]).fit(df)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = model.transform(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
+        assert any("__on0_0" in line and "__salt0" in line for line in exchanges)
+        sizes = (
+            out.filter("k = 'hot'")
+            .groupBy(F.spark_partition_id().alias("p"))
+            .agg(F.count("*").alias("n"))
+            .collect()
+        )
+        assert len(sizes) == int(width)
+        assert max(r.n for r in sizes) < 2 * sum(r.n for r in sizes) / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
