@@ -13,9 +13,10 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import add
 from typing import Any
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -121,8 +122,12 @@ def assemble(
     weight: str | None = None,
     split_col: str = "split",
 ) -> DataFrame:
-    """Key, split, fold, label, weight and one feature vector per row, written
-    out once: all fits and predictions read this table."""
+    """Key, split, fold, label, weight and one feature vector per row.
+
+    Written out once: all fits and predictions read this table. It is stored
+    by split and fold, so a fit skips its held-out fold's files and a
+    prediction reads no others.
+    """
     vectors = VectorAssembler(
         inputCols=list(features), outputCol=FEATURES, handleInvalid="error"
     ).transform(df)
@@ -135,7 +140,8 @@ def assemble(
             F.col(label).cast("double").alias(LABEL),
             (F.col(weight).cast("double") if weight else F.lit(1.0)).alias(WEIGHT),
             FEATURES,
-        )
+        ),
+        partition_by=["split", "fold"],
     )
 
 
@@ -161,10 +167,13 @@ class CrossFit:
         return self.scores.filter(F.col("split") == "test")
 
 
-def _predict(fitted: Model, rows: DataFrame, **marks: Any) -> DataFrame:
-    scored = fitted.transform(rows)
-    positive = vector_to_array(F.col("probability"))[1]
-    return scored.select(
+def _predict(models: Sequence[Model], rows: DataFrame, **marks: Any) -> DataFrame:
+    """Mean positive-class probability of some models, in one pass over the rows."""
+    for i, model in enumerate(models):
+        quiet = model.copy().setRawPredictionCol("").setPredictionCol("")
+        rows = quiet.setProbabilityCol(f"__p{i}").transform(rows)
+    positive = [vector_to_array(F.col(f"__p{i}"))[1] for i in range(len(models))]
+    return rows.select(
         "id",
         F.lit(marks["seed"]).alias("seed"),
         F.lit(marks["feature_set"]).alias("feature_set"),
@@ -172,7 +181,7 @@ def _predict(fitted: Model, rows: DataFrame, **marks: Any) -> DataFrame:
         F.lit(marks["fold"]).cast("int").alias("fold"),
         "split",
         F.col(LABEL).cast("int").alias("label"),
-        positive.alias("score"),
+        (reduce(add, positive) / F.lit(float(len(models)))).alias("score"),
     )
 
 
@@ -192,46 +201,36 @@ def cross_fit(
     """
     train = assembled.filter(F.col("split") == "train")
     test = assembled.filter(F.col("split") == "test")
-    cached = assembled.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sizes = {
-            r["fold"]: r["n"]
-            for r in train.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-        n_all = sum(sizes.values())
-
-        def fit_one(name: str, spec: ModelSpec, fold: int):
-            held_out = F.col("fold") == fold
-            if spec.early_stop and spec.family == "boosted":
-                rows = train.withColumn(HELD_OUT, held_out)
-            else:
-                rows = train.filter(~held_out)
-            estimator = spec.estimator(seed, n_all - sizes.get(fold, 0))
-            return (name, seed, fold), estimator.fit(rows)
-
-        jobs = [
-            (lambda n=name, s=spec, f=fold: fit_one(n, s, f))
-            for name, spec in models.items()
-            for fold in range(folds)
-        ]
-        fitted = dict(run_parallel(jobs, workers))
-    finally:
-        cached.unpersist()
+    sizes = {
+        r["fold"]: r["n"]
+        for r in train.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    n_all = sum(sizes.values())
+
+    def fit_one(name: str, spec: ModelSpec, fold: int):
+        held_out = F.col("fold") == fold
+        if spec.early_stop and spec.family == "boosted":
+            rows = train.withColumn(HELD_OUT, held_out)
+        else:
+            rows = train.filter(~held_out)
+        estimator = spec.estimator(seed, n_all - sizes.get(fold, 0))
+        return (name, seed, fold), estimator.fit(rows)
+
+    jobs = [
+        (lambda n=name, s=spec, f=fold: fit_one(n, s, f))
+        for name, spec in models.items()
+        for fold in range(folds)
+    ]
+    fitted = dict(run_parallel(jobs, workers))
     parts = []
-    for (name, _, fold), model in fitted.items():
+    for name in models:
         marks = {"seed": seed, "feature_set": feature_set, "model": name}
-        parts.append(_predict(model, train.filter(F.col("fold") == fold), fold=fold, **marks))
-    test_parts = [
-        _predict(model, test, seed=seed, feature_set=feature_set, model=name, fold=None)
-        for (name, _, _), model in fitted.items()
-    ]
-    # Mean over the fold models; a test row has one row per fold model here.
-    of_test = (
-        reduce(DataFrame.unionByName, test_parts)
-        .groupBy(*[c for c in SCORE_COLUMNS if c != "score"])
-        .agg(F.avg("score").alias("score"))
-    )
-    scores = reduce(DataFrame.unionByName, [*parts, of_test]).select(*SCORE_COLUMNS)
+        of_folds = [fitted[name, seed, fold] for fold in range(folds)]
+        for fold, model in enumerate(of_folds):
+            held_out = train.filter(F.col("fold") == fold)
+            parts.append(_predict([model], held_out, fold=fold, **marks))
+        parts.append(_predict(of_folds, test, fold=None, **marks))
+    scores = reduce(DataFrame.unionByName, parts).select(*SCORE_COLUMNS)
     return CrossFit(scores, fitted)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -61,11 +62,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once and read it back, cutting its lineage.
 
     Used where a result feeds several jobs. Parquet in the shared folder
-    survives the loss of executors and keeps column pruning for the readers.
+    survives the loss of executors and keeps column pruning for the readers;
+    with ``partition_by`` readers of one value also skip the others' files.
     Without a shared folder the lineage is kept and the rows are cached.
     """
     spark = df.sparkSession
@@ -73,8 +75,8 @@ def materialise(df: DataFrame) -> DataFrame:
     if folder is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = os.path.join(folder, "tabloom", uuid.uuid4().hex)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def shuffle_width(spark: SparkSession) -> int:
