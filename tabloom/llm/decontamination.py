@@ -73,8 +73,10 @@ def item_spans(items: DataFrame, window: int, gram: int) -> DataFrame:
     parts = []
     for length in sorted(r[0] for r in worded.select("length").distinct().collect()):
         keyed = window_keys(worded.filter(F.col("length") == length), length, window, gram)
+        # A bare column would be filtered for emptiness first, computing it anew.
+        each = F.posexplode(F.concat("keys", F.array().cast("array<bigint>"))).alias("start", "key")
         parts.append(
-            keyed.select("item_id", "length", "words", F.posexplode("keys").alias("start", "key")).select(
+            keyed.select("item_id", "length", "words", each).select(
                 "item_id", "length", "key", span_text("words", F.col("start"), length).alias("span")
             )
         )
