@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, language_id, packing, quality, token_counts
+from tabloom.llm import decontamination, language_id, near_dedup, packing, quality, token_counts
 from tabloom.llm import topk, toxicity, url_filter
 from tabloom.llm.common import id_bucket
 
@@ -81,6 +81,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(bucket == 2, F.lit(False)))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -95,6 +99,7 @@ QUERIES = {
         op5_toxicity,
         op7_quality,
         op8_language_id,
+        op9_near_dedup,
         op10_packing,
     )
 }
@@ -133,10 +138,26 @@ m AS (SELECT p.*, rhost || rpath AS rule, v, row_number() OVER (
       PARTITION BY page_id ORDER BY length(rhost || rpath) DESC NULLS LAST) AS k
     FROM p LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""",
+    "op9_near_dedup": r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 3) - 1], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+    GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+    WHERE 100 * k >= 85 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM t UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)""",
     "op4_topk_search": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
     FROM embeddings WHERE embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 c AS (SELECT vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
     FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
