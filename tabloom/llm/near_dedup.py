@@ -20,10 +20,10 @@ from tabloom.session import materialise
 BANDS, ROWS = 25, 5
 SAMPLES = 2 * BANDS * ROWS
 SKETCH_WORDS = 16
-#: Members of a bucket that are compared in one piece of work.
-BLOCK = 1024
-#: Partners that a document is compared with exactly before the rest.
-NEAREST = 4
+#: Members of a bucket, and shingles of theirs, that one piece of work compares.
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
+#: Buckets of more members bring their sets along and are compared at once.
+CROWDED = 64
 
 _seeds = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64))
 _FACTORS = (_seeds[:SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -132,21 +132,28 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield rest
 
 
-def close_pairs(similarity: float, nearest: int | None):
-    """For mapInArrow: pairs of one block of a bucket that can be similar.
+def close_pairs(similarity: float, exact: bool):
+    """For mapInArrow: pairs of one block of a bucket that can be, or are, similar.
 
     Rows are bucket, i, j, role (0: to be linked, 1: any member), node,
-    component, n, sketch. Pairs in different components pass if their sizes and
-    sketches allow the similarity; of each node the ``nearest``, or all.
+    component, n, sketch, bands and, if ``exact``, found (the set). A pair in
+    different components passes if its sizes and sketches allow the similarity
+    and the bucket is the first that it shares, so it passes once in all. If
+    ``exact``, sets are compared here, the closest sketches first, and members
+    that this has put into one component are not compared any more.
     """
-    most = most_different_bits(similarity)
+    most, hundredths = most_different_bits(similarity), round(100 * similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 3):
-            role = group["role"].to_numpy()
-            node, part, n = (group[c].to_numpy() for c in ("node", "component", "n"))
+            bucket, role = group["bucket"][0].as_py(), group["role"].to_numpy()
+            node, n = group["node"].to_numpy(), group["n"].to_numpy()
+            # Components by number within the group; merged ones take one number.
+            part = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
             sketch = group["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64)
             sketch = sketch.reshape(-1, SKETCH_WORDS)
+            bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            sets = group["found"].combine_chunks() if exact else None
             (left,), (right,) = np.nonzero(role == 0), np.nonzero(role == 1)
             found_a, found_b = [], []
             for x in left:
@@ -155,12 +162,25 @@ def close_pairs(similarity: float, nearest: int | None):
                     & (np.minimum(n[right], n[x]) >= (similarity - 1e-9) * np.maximum(n[right], n[x]))
                 ]
                 bits = np.bitwise_count(sketch[fits] ^ sketch[x]).sum(axis=1, dtype=np.int64)
-                near = bits <= most
-                fits, bits = fits[near], bits[near]
-                if nearest is not None and len(fits) > nearest:
-                    fits = fits[np.argsort(bits, kind="stable")[:nearest]]
-                found_a.append(np.full(len(fits), node[x]))
-                found_b.append(node[fits])
+                fits, bits = fits[bits <= most], bits[bits <= most]
+                first = (bands[fits] == bands[x]).argmax(axis=1)
+                here = bands[x][first] == bucket
+                fits, bits = fits[here], bits[here]
+                if not exact:
+                    found_a.append(np.full(len(fits), node[x]))
+                    found_b.append(node[fits])
+                    continue
+                own = np.frombuffer(sets[int(x)].as_py(), np.uint64)
+                for y in fits[np.argsort(bits, kind="stable")]:
+                    if part[y] == part[x]:
+                        continue
+                    both = np.concatenate([own, np.frombuffer(sets[int(y)].as_py(), np.uint64)])
+                    both.sort()
+                    common = int((both[1:] == both[:-1]).sum())
+                    if 100 * common >= hundredths * (len(both) - common):
+                        found_a.append(node[x : x + 1])
+                        found_b.append(node[y : y + 1])
+                        part[part == part[y]] = part[x]
             if found_a and sum(map(len, found_a)):
                 a, b = np.concatenate(found_a), np.concatenate(found_b)
                 yield pa.RecordBatch.from_arrays(
@@ -170,6 +190,17 @@ def close_pairs(similarity: float, nearest: int | None):
     return run
 
 
+def text_sets(size: int):
+    """For mapInArrow: node, found (its set's bytes) of (node, text) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), size).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "found"])
+
+    return run
+
+
 def similar_enough(size: int, similarity: float):
     """For mapInArrow: the pairs (a, b, text_a, text_b) whose full sets are similar enough."""
     hundredths = round(100 * similarity)
@@ -274,61 +305,70 @@ def near_duplicates(
     own = member.filter("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     tested = materialise(first)
     links = materialise(verified(tested).union(own))
-    for nearest in (NEAREST, None):
-        parts = smallest_reachable(links)
-        placed = materialise(
-            buckets.select("bucket", "node")
-            .join(parts, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
+    parts = smallest_reachable(links)
+    placed = materialise(
+        buckets.select("bucket", "node")
+        .join(parts, "node", "left")
+        .join(nodes.select("node", "n"), "node")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    by_part = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
+    mixed = materialise(
+        by_part.groupBy("bucket")
+        .agg(
+            F.sum("size").alias("members"),
+            F.sum("n").alias("shingles"),
+            F.max("size").alias("largest"),
+            F.max_by("component", "size").alias("main"),
+            F.count(F.lit(1)).alias("parts"),
         )
-        by_part = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-        mixed = (
-            by_part.groupBy("bucket")
-            .agg(
-                F.sum("size").alias("members"),
-                F.max("size").alias("largest"),
-                F.max_by("component", "size").alias("main"),
-                F.count(F.lit(1)).alias("parts"),
-            )
-            .filter("parts > 1")
-            .select(
-                "bucket",
-                "main",
-                F.ceil((F.col("members") - F.col("largest")) / BLOCK).cast("int").alias("rows"),
-                F.ceil(F.col("members") / BLOCK).cast("int").alias("columns"),
-            )
+        .filter("parts > 1")
+        .select(
+            "bucket",
+            "main",
+            "members",
+            F.ceil((F.col("members") - F.col("largest")) / BLOCK).cast("int").alias("rows"),
+            F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
+            .cast("int")
+            .alias("columns"),
         )
-        held = placed.join(mixed, "bucket").join(sketches, "node")
-        spread = F.xxhash64("node")
+    )
+    details = nodes.join(busy, "node", "left_semi").select("node", "sketch", "bands")
+    spread = F.xxhash64("node")
+
+    def compared(kind: str, exact: bool) -> DataFrame:
+        held = placed.join(mixed.filter(kind), "bucket").join(details, "node")
+        if exact:
+            wanted = held.select("node").distinct()
+            sets = texts.join(wanted, "node", "left_semi").select("node", "text")
+            held = held.join(sets.mapInArrow(text_sets(size), "node long, found binary"), "node")
+        columns = ["node", "component", "n", "sketch", "bands", *["found"] * exact]
         outsiders = held.filter("component <> main").select(
             "bucket",
             F.pmod(spread, "rows").cast("int").alias("i"),
             F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"),
             F.lit(0).alias("role"),
-            "node",
-            "component",
-            "n",
-            "sketch",
+            *columns,
         )
         everyone = held.select(
             "bucket",
             F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
             F.pmod(spread, "columns").cast("int").alias("j"),
             F.lit(1).alias("role"),
-            "node",
-            "component",
-            "n",
-            "sketch",
+            *columns,
         )
         blocks = outsiders.union(everyone).repartition("bucket", "i", "j")
-        found = (
+        return (
             blocks.sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(close_pairs(similarity, nearest), "a long, b long")
+            .mapInArrow(close_pairs(similarity, exact), "a long, b long")
             .distinct()
         )
-        new = materialise(found.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.union(new)
-        links = materialise(verified(new).union(parts.select(F.col("component").alias("a"), F.col("node").alias("b"))))
+
+    pairs = compared(f"members <= {CROWDED}", False).join(tested, ["a", "b"], "left_anti")
+    known = parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    links = materialise(
+        verified(materialise(pairs)).union(compared(f"members > {CROWDED}", True)).union(known)
+    )
     parts = smallest_reachable(links).toDF("doc_id", "reached")
     return (
         signed.select("doc_id", F.col("n").alias("n_shingles"))
