@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm import decontamination, language_id, near_dedup, packing, quality, token_counts
-from tabloom.llm import topk, toxicity, url_filter
+from tabloom.llm import substring_dedup, topk, toxicity, url_filter
 from tabloom.llm.common import id_bucket
 
 URL_RULES = [
@@ -67,6 +67,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucket = id_bucket("doc_id", 5)
     found = quality.score_quality(
@@ -97,6 +101,7 @@ QUERIES = {
         op3_url_filter,
         op4_topk_search,
         op5_toxicity,
+        op6_substring_dedup,
         op7_quality,
         op8_language_id,
         op9_near_dedup,
