@@ -112,8 +112,8 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n long, digest binary, bands array<long>, sketch array<long>")
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Runs of rows that agree in the first ``keys`` columns, of sorted batches."""
+def groups(batches: Iterator[pa.RecordBatch], keys: int, least: int = 1) -> Iterator[pa.Table]:
+    """Runs of at least ``least`` rows that agree in the first ``keys`` columns, of sorted batches."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -126,9 +126,10 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
             new[1:] |= column[1:] != column[:-1]
         cuts = [0, *np.flatnonzero(new)]
         for start, end in zip(cuts, cuts[1:]):
-            yield rest.slice(start, end - start)
+            if end - start >= least:
+                yield rest.slice(start, end - start)
         rest = rest.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
+    if rest is not None and rest.num_rows >= least:
         yield rest
 
 
