@@ -139,31 +139,17 @@ def fit_quality(texts: list[str | None], positive: np.ndarray, prior: float | No
     return minimise(own, at, values, positive, prior)
 
 
-def score_quality(
+def fit_scorer(
     docs: DataFrame,
     labels: DataFrame,
     learn_from: Column,
     label_col: str = "quality",
-    threshold: float = 0.3,
     class_prior: float | None = None,
     sample_rows: int = 6_000,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> DataFrame:
-    """Per row: doc_id, score (0 to 1) and predicted (score >= threshold).
-
-    Positives are the rows labelled 1 whose ``doc_id`` meets ``learn_from``;
-    unlabelled are the rows without a label. About ``sample_rows`` of each are
-    used, all if there are fewer. Labels of 0 are not used. ``class_prior``, the
-    share of positives among the unlabelled, is estimated if None. Features are
-    shapes of tokens and rates of a whole text; every whole text is scored.
-
-    NULL and empty texts are scored like each other, by the features of an
-    empty text. Without a positive every score is 0.5. Labels of a NULL id are
-    not used; of several labels of an id the lowest counts. A NULL id stays;
-    repeated rows each give a row; an empty table gives an empty one; further
-    columns are left out.
-    """
+):
+    """A function of a text column that gives its score; parameters as in ``score_quality``."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     known = (
         pick(labels, doc_id=id_col, label=label_col)
@@ -191,6 +177,41 @@ def score_quality(
             scores.append(1 / (1 + np.exp(-np.clip((sent.value[at] * values).sum(), -500, 500))))
         return pa.array(scores, pa.float64())
 
-    return rows.select("doc_id", judge("text").alias("score")).withColumn(
+    return judge
+
+
+def score_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn_from: Column,
+    threshold: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    **options,
+) -> DataFrame:
+    """Per row: doc_id, score (0 to 1) and predicted (score >= threshold).
+
+    Positives are the rows labelled 1 (in ``label_col``) whose ``doc_id`` meets
+    ``learn_from``; unlabelled are the rows without a label. About
+    ``sample_rows`` of each are used, all if there are fewer. Labels of 0 are
+    not used. ``class_prior``, the share of positives among the unlabelled, is
+    estimated if None. Features are shapes of tokens and rates of a whole text;
+    every whole text is scored.
+
+    NULL and empty texts are scored like each other, by the features of an
+    empty text. Without a positive every score is 0.5. Labels of a NULL id are
+    not used; of several labels of an id the lowest counts. A NULL id stays;
+    repeated rows each give a row; an empty table gives an empty one; further
+    columns are left out.
+    """
+    judge = fit_scorer(docs, labels, learn_from, id_col=id_col, text_col=text_col, **options)
+    rows = pick(docs, doc_id=id_col, text=text_col)
+    return rows.select("doc_id", judge(F.col("text").cast("string")).alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, learn_from: Column, threshold: float = 0.3, **options) -> DataFrame:
+    """The rows of ``docs`` that ``score_quality`` predicts 1, with all columns."""
+    judge = fit_scorer(docs, labels, learn_from, **options)
+    return docs.filter(judge(F.col(options.get("text_col", "text")).cast("string")) >= threshold)
