@@ -3,7 +3,6 @@ from tabloom.functions.columns import (
     below,
     equals,
     flag,
-    is_missing_text,
     missing_as_text,
     numeric,
     parse_number,
@@ -17,7 +16,6 @@ __all__ = [
     "below",
     "equals",
     "flag",
-    "is_missing_text",
     "missing_as_text",
     "numeric",
     "parse_number",

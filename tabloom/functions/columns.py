@@ -46,18 +46,29 @@ def missing_as_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(MISSING_TEXT))
 
 
-def is_missing_text(column: Column) -> Column:
-    return column.isNull()
-
-
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it does not or is unknown."""
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
-def equals(column: Column, value, negate: bool = False) -> Column:
-    """Equality flag; a missing value differs from every value."""
-    same = column.cast("string").eqNullSafe(F.lit(str(value)))
+def equals(
+    column: Column, value, negate: bool = False, dtype: T.DataType | None = None
+) -> Column:
+    """Equality flag; a missing value differs from every value.
+
+    A column whose ``dtype`` is a number is compared as one, so that 1.0 equals
+    '1' and 0.0 equals 0; a value that is no number differs from all of them.
+    Any other column is compared as text.
+    """
+    if isinstance(dtype, T.NumericType):
+        try:
+            number = float(value)
+        except ValueError:
+            same = F.lit(False)
+        else:
+            same = column.cast("double").eqNullSafe(F.lit(number))
+    else:
+        same = column.cast("string").eqNullSafe(F.lit(str(value)))
     return flag(~same if negate else same)
 
 

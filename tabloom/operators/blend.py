@@ -10,10 +10,11 @@ are ruled out first by bounds from a histogram, see ``best_blend``.
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -149,8 +150,10 @@ def grid4(step: float = 0.05, most: float = 0.5) -> list[tuple[float, float, flo
 
 
 def weighted_sum(cols: Sequence[str], weights: Sequence[float]) -> Column:
-    terms = [F.lit(float(w)) * F.col(f"`{c}`") for c, w in zip(cols, weights)]
-    return reduce(add, terms)
+    """Sum of weight times score; a column of weight 0 is left out, so a score
+    that is missing there does no harm."""
+    terms = [F.lit(float(w)) * F.col(f"`{c}`") for c, w in zip(cols, weights) if w]
+    return reduce(add, terms) if terms else F.lit(0.0)
 
 
 def _struct_fields(fields: Sequence[str]) -> str:
@@ -188,15 +191,28 @@ def _per_candidate(
     return rows.select("w_id", "label", reduce(add, terms).alias("score"), *more)
 
 
-def search_table(wide: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+def search_table(
+    wide: DataFrame, cols: Sequence[str], label: str, missing: str = "error"
+) -> DataFrame:
     """The columns a search needs, written out evenly split.
 
     A search reads its table several times and multiplies every row by the
     number of candidates, so it wants more partitions than the table's size
-    alone would give.
+    alone would give. A row that lacks its label or a score is an error;
+    ``missing='drop'`` leaves such rows out of the whole search, with a warning
+    that says how many.
     """
-    narrow = wide.select(label, *cols).na.drop()
-    return materialise(narrow.repartition(shuffle_width(wide.sparkSession)))
+    if missing not in ("error", "drop"):
+        raise ValueError(f"missing must be 'error' or 'drop', not {missing!r}")
+    narrow = wide.select(label, *cols)
+    stored = materialise(narrow.repartition(shuffle_width(wide.sparkSession)))
+    lacking = stored.filter(reduce(or_, [F.col(f"`{c}`").isNull() for c in (label, *cols)])).count()
+    if not lacking:
+        return stored
+    if missing == "error":
+        raise ValueError(f"{lacking} rows lack a score or the label; pass missing='drop' to leave them out")
+    warnings.warn(f"{lacking} rows lack a score or the label and are left out", stacklevel=2)
+    return stored.na.drop()
 
 
 def blend_aucs(
@@ -306,10 +322,14 @@ def best_blend(
 
 
 def grid_blend(
-    wide: DataFrame, cols: Sequence[str], label: str, grid: Sequence[Sequence[float]]
+    wide: DataFrame,
+    cols: Sequence[str],
+    label: str,
+    grid: Sequence[Sequence[float]],
+    missing: str = "error",
 ) -> Best:
     """Best weights of a grid over the named score columns."""
-    return best_blend(search_table(wide, cols, label), cols, label, grid)
+    return best_blend(search_table(wide, cols, label, missing), cols, label, grid)
 
 
 @dataclass(frozen=True)
@@ -331,6 +351,7 @@ def hill_climb(
     label: str,
     max_add: int = 11,
     min_gain: float = 1e-5,
+    missing: str = "error",
 ) -> Climb:
     """Greedy selection with replacement on the AUC of the mean of the picks.
 
@@ -338,7 +359,7 @@ def hill_climb(
     ``min_gain``, the model that helps most. Each step is one search over all
     models.
     """
-    wide = search_table(wide, cols, label)
+    wide = search_table(wide, cols, label, missing)
     counts = np.zeros(len(cols))
     selected: list[str] = []
     aucs: list[float] = []

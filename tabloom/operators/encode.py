@@ -75,7 +75,7 @@ class FrequencyEncoder:
         table = counts.join(F.broadcast(totals), "col").select(
             "col", "val", "n_rows", (F.col("n_rows") / F.col("n_all")).alias("share")
         )
-        return FrequencyModel(self.cols, self.suffix, settle(table, ["col", "val"]))
+        return FrequencyModel(self.cols, self.suffix, settle(table, ["col", "val"], part="col"))
 
 
 @dataclass(frozen=True)
@@ -113,13 +113,17 @@ class LabelEncoder:
             .groupBy("col", "val")
             .agg(F.count(F.lit(1)).alias("n_rows"))
         )
-        found = settle(seen, ["col", "val"], max_rows=max_rows)
+        found = settle(seen, ["col", "val"], max_rows=max_rows, part="col")
+        order = Window.partitionBy("col").orderBy("val")
+        code = F.row_number().over(order) - 1
         if found.small:
-            order = Window.partitionBy("col").orderBy("val")
-            coded = found.table.withColumn("code", F.row_number().over(order) - 1)
+            coded = found.table.withColumn("code", code)
         else:
-            coded = _ordered_codes(found.table)
-        fitted = settle(coded, found.keys, max_rows=max_rows)
+            short = F.col("col").isin(list(found.small_parts or ()))
+            coded = _ordered_codes(found.table.filter(~short)).unionByName(
+                found.table.filter(short).withColumn("code", code)
+            )
+        fitted = settle(coded, found.keys, max_rows=max_rows, part="col")
         return LabelModel(self.cols, self.suffix, fitted)
 
 
@@ -220,7 +224,7 @@ class TargetEncoder:
                 ),
             ).alias("held_out"),
         )
-        return TargetModel(self, settle(table, ["col", "val"]), overall)
+        return TargetModel(self, settle(table, ["col", "val"], part="col"), overall)
 
 
 @dataclass(frozen=True)
@@ -281,7 +285,7 @@ class WoeEncoder:
             table = table.join(F.broadcast(self._fold_totals(counts, per_category)), "col")
             held_out = F.transform_values("fold_totals", self._held_out)
         fitted = table.select("col", "val", "n_rows", full.alias("full"), held_out.alias("held_out"))
-        return WoeModel(self, settle(fitted, ["col", "val"]))
+        return WoeModel(self, settle(fitted, ["col", "val"], part="col"))
 
     def _woe(self, n: Column, s: Column, all_n: Column, all_s: Column, k: Column) -> Column:
         a = F.lit(self.alpha)

@@ -20,6 +20,7 @@ from tabloom.functions import (
     above,
     below,
     equals,
+    flag,
     numeric,
     right_closed_bin,
     safe_ratio,
@@ -98,7 +99,7 @@ def count_equal(name: str, cols: Sequence[str], value: str) -> Feature:
     return Feature(
         name,
         tuple(cols),
-        lambda s: reduce(add, [equals(_raw(c), value) for c in _present(s, cols)]),
+        lambda s: reduce(add, [equals(_raw(c), value, dtype=s[c]) for c in _present(s, cols)]),
         any_input=True,
     )
 
@@ -131,12 +132,12 @@ def count_active(name: str, cols: Sequence[str], value: str = "Yes") -> Feature:
 
 
 def flag_equal(name: str, col: str, value: str) -> Feature:
-    return Feature(name, (col,), lambda s: equals(_raw(col), value))
+    return Feature(name, (col,), lambda s: equals(_raw(col), value, dtype=s[col]))
 
 
 def flag_not_equal(name: str, col: str, value: str) -> Feature:
     """1 where the column differs from ``value`` or is missing."""
-    return Feature(name, (col,), lambda s: equals(_raw(col), value, negate=True))
+    return Feature(name, (col,), lambda s: equals(_raw(col), value, True, s[col]))
 
 
 def flag_contains(name: str, col: str, pattern: str) -> Feature:
@@ -165,12 +166,12 @@ def over(col: str, bound: float) -> Rule:
 
 
 def is_set(col: str) -> Rule:
-    """The flag column itself."""
-    return Rule(col, lambda s: _num(s, col))
+    """The flag column is not 0."""
+    return Rule(col, lambda s: flag(_num(s, col) != 0))
 
 
 def is_zero(col: str) -> Rule:
-    return Rule(col, lambda s: equals(_num(s, col), 0))
+    return Rule(col, lambda s: flag(_num(s, col) == 0))
 
 
 def rule_flag(name: str, *rules: Rule) -> Feature:

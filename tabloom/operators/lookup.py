@@ -1,8 +1,8 @@
 """Look values up in a table of unique keys, for any number of rows.
 
 Fitted statistics and dictionaries are tables with one row per key. How such a
-table meets the rows is decided by its measured size: ``settle`` reads at most
-a fixed number of rows of it, and
+table meets the rows is decided by its measured size: ``settle`` writes it out
+once, counts its rows and bytes, and
 
 * a handful of keys becomes a constant map inside the projection,
 * a table proven to fit becomes a local relation that is broadcast,
@@ -18,7 +18,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 from typing import Any
 
 import pyarrow as pa
@@ -32,6 +32,8 @@ from tabloom.session import materialise, shuffle_width
 # Bounds of what may be broadcast.
 MAX_ROWS = 100_000
 MAX_BYTES = 32 * 1024 * 1024
+# Parts of one table may together have so many times that.
+PARTS_TOGETHER = 4
 # Up to this many keys a scan of a constant map is as fast as a hash lookup.
 CONSTANT_KEYS = 32
 # Keys with at least this share (1/HOT_KEYS) of all rows are treated apart.
@@ -44,17 +46,19 @@ HOT_SPREAD = 256
 class Lookup:
     """A table with unique ``keys``; ``weight`` counts the fitted rows per key.
 
-    ``local`` holds the rows of a table that was proven small.
+    ``local`` holds the rows of a table that was proven small. Where a table
+    has several parts, of which ``small_parts`` are small, it holds theirs.
     """
 
     table: DataFrame
     keys: tuple[str, ...]
     weight: str
     local: pa.Table | None = None
+    small_parts: frozenset[Any] | None = None
 
     @property
     def small(self) -> bool:
-        return self.local is not None
+        return self.local is not None and self.small_parts is None
 
     @property
     def constant(self) -> bool:
@@ -67,6 +71,8 @@ class Lookup:
     def pick(self, column: str, value: Any, *keys: str) -> Lookup:
         """The rows where ``column`` has a value, under other keys."""
         local = self.local
+        if self.small_parts is not None and value not in self.small_parts:
+            local = None
         if local is not None:
             local = local.filter(pc.equal(local[column], value))
         table = self.table.filter(F.col(column) == F.lit(value))
@@ -88,23 +94,58 @@ def settle(
     weight: str = "n_rows",
     max_rows: int | None = None,
     max_bytes: int | None = None,
+    part: str | None = None,
 ) -> Lookup:
-    """Compute a key table once and decide by its size how it will be joined."""
+    """Compute a key table once and decide by its size how it will be joined.
+
+    The table is written out and measured before any row of it is collected.
+    With ``part``, a column of few values (one per encoded column or key set),
+    every part is decided on by itself, so a long one leaves the short ones
+    small.
+    """
     max_rows = MAX_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BYTES if max_bytes is None else max_bytes
-    head: pa.Table = table.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows and head.nbytes <= max_bytes:
+    stored = materialise(table)
+    by = [part] if part else []
+    sizes = (
+        stored.groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(_row_bytes(stored.schema)), F.lit(0)).alias("bytes"),
+        )
+        .collect()
+    )
+    # Smallest first, as long as all of them together stay within a few bounds.
+    small, rows, size = [], 0, 0
+    for found in sorted(sizes, key=lambda r: r["bytes"]):
+        rows, size = rows + found["rows"], size + found["bytes"]
+        if found["rows"] > max_rows or found["bytes"] > max_bytes:
+            continue
+        if rows > PARTS_TOGETHER * max_rows or size > PARTS_TOGETHER * max_bytes:
+            break
+        small.append(found[part] if part else None)
+    if len(small) == len(sizes):
+        head: pa.Table = stored.toArrow()
         local = table.sparkSession.createDataFrame(head, schema=table.schema)
         return Lookup(local, tuple(keys), weight, head)
-    return Lookup(materialise(table), tuple(keys), weight)
-
-
-def _columns_apart(table: DataFrame, keys: Sequence[str], values: Sequence[str], tag: str):
-    return table.select(
-        *[F.col(k).alias(f"__{tag}_key{i}") for i, k in enumerate(keys)],
-        *[F.col(v).alias(f"__{tag}_val{i}") for i, v in enumerate(values)],
-        F.lit(True).alias(f"__{tag}_hit"),
-    )
+    if not small:
+        return Lookup(stored, tuple(keys), weight)
+    head = stored.filter(F.col(part).isin(small)).toArrow()
+    return Lookup(stored, tuple(keys), weight, head, frozenset(small))
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row takes once collected."""
+    sizes = []
+    for field in schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + 8)
+        elif isinstance(field.dataType, (T.MapType, T.ArrayType)):
+            sizes.append(F.greatest(F.size(column), F.lit(0)) * 64 + 8)
+        else:
+            sizes.append(F.lit(16))
+    return reduce(add, sizes).cast("long")
 
 
 def look_up(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,6 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.train import run_parallel
 from tabloom.session import materialise
 
 
@@ -65,11 +67,14 @@ class ClusterFeatures:
         ks: Sequence[int] = (5, 10),
         restarts: int = 10,
         seed: int = 42,
-        max_iter: int = 20,
+        max_iter: int = 300,
+        tol: float = 1e-4,
         prefix: str = "cluster",
+        workers: int = 4,
     ):
         self.cols, self.ks, self.restarts = list(cols), list(ks), restarts
-        self.seed, self.max_iter, self.prefix = seed, max_iter, prefix
+        self.seed, self.max_iter, self.tol = seed, max_iter, tol
+        self.prefix, self.workers = prefix, workers
 
     def fit(self, train: DataFrame) -> ClusterModel:
         scaler = Standardise(self.cols, suffix="__z", fill=0.0).fit(train.select(*self.cols))
@@ -79,18 +84,25 @@ class ClusterFeatures:
         points = assembler.transform(scaler.transform(train.select(*self.cols)))
         # Every restart and iteration reads the points again.
         points = materialise(points.select("__point"))
-        centres = {k: self._best(points, k) for k in self.ks}
-        return ClusterModel(self, scaler, centres)
 
-    def _best(self, points: DataFrame, k: int) -> np.ndarray:
-        best, least = None, float("inf")
-        for restart in range(self.restarts):
+        def fit_one(k: int, restart: int) -> tuple[float, int, int, np.ndarray]:
             model = KMeans(
-                featuresCol="__point", k=k, seed=self.seed + restart, maxIter=self.max_iter
+                featuresCol="__point",
+                k=k,
+                seed=self.seed + restart,
+                maxIter=self.max_iter,
+                tol=self.tol,
             ).fit(points)
-            if model.summary.trainingCost < least:
-                best, least = model.clusterCenters(), model.summary.trainingCost
-        return np.array(best)
+            if model.summary.numIter >= self.max_iter:
+                warnings.warn(f"k-means with k={k} stopped at {self.max_iter} iterations", stacklevel=2)
+            return model.summary.trainingCost, restart, k, np.array(model.clusterCenters())
+
+        jobs = [
+            (lambda k=k, r=r: fit_one(k, r)) for k in self.ks for r in range(self.restarts)
+        ]
+        fits = run_parallel(jobs, self.workers)
+        centres = {k: min((f for f in fits if f[2] == k), key=lambda f: f[:2])[3] for k in self.ks}
+        return ClusterModel(self, scaler, centres)
 
 
 @dataclass(frozen=True)

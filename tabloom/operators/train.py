@@ -41,7 +41,7 @@ SCORE_COLUMNS = ["id", "seed", "feature_set", "model", "fold", "split", "label",
 class ModelSpec:
     """A model family with its parameters, made into an estimator per fit.
 
-    Families: 'boosted', 'forest', 'logistic'. ``patience`` turns on early
+    Families: 'boosted', 'forest', 'logistic'. ``early_stop`` turns on early
     stopping on the held-out fold for boosted trees: Spark stops when the
     held-out loss no longer improves by ``tolerance``.
     """
@@ -51,7 +51,7 @@ class ModelSpec:
     early_stop: bool = False
     tolerance: float = 0.001
 
-    def estimator(self, seed: int, rows: int | None = None) -> Estimator:
+    def estimator(self, seed: int, total_weight: float | None = None) -> Estimator:
         params = dict(self.params)
         common = {"featuresCol": FEATURES, "labelCol": LABEL, "weightCol": WEIGHT}
         if self.family == "boosted":
@@ -64,14 +64,15 @@ class ModelSpec:
         if self.family == "forest":
             return RandomForestClassifier(**common, seed=seed, **params)
         if self.family == "logistic":
-            # An L2 penalty of 1/(2C) on the summed loss is 1/(C*rows) on the
-            # mean loss that Spark minimises.
+            # An L2 penalty of 1/(2C) on the summed loss is 1/(C*weights) on
+            # the loss that Spark minimises, the sum over the sum of weights.
             strength = params.pop("C", 1.0)
+            known = total_weight is not None and total_weight > 0
             return LogisticRegression(
                 **common,
                 elasticNetParam=0.0,
                 standardization=False,
-                regParam=1.0 / (strength * max(rows or 1, 1)),
+                regParam=1.0 / (strength * (total_weight if known else 1.0)),
                 **params,
             )
         raise ValueError(f"unknown model family: {self.family}")
@@ -201,11 +202,11 @@ def cross_fit(
     """
     train = assembled.filter(F.col("split") == "train")
     test = assembled.filter(F.col("split") == "test")
-    sizes = {
-        r["fold"]: r["n"]
-        for r in train.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()
+    weights = {
+        r["fold"]: r["w"]
+        for r in train.groupBy("fold").agg(F.sum(WEIGHT).alias("w")).collect()
     }
-    n_all = sum(sizes.values())
+    all_weights = sum(weights.values())
 
     def fit_one(name: str, spec: ModelSpec, fold: int):
         held_out = F.col("fold") == fold
@@ -213,7 +214,7 @@ def cross_fit(
             rows = train.withColumn(HELD_OUT, held_out)
         else:
             rows = train.filter(~held_out)
-        estimator = spec.estimator(seed, n_all - sizes.get(fold, 0))
+        estimator = spec.estimator(seed, all_weights - weights.get(fold, 0.0))
         return (name, seed, fold), estimator.fit(rows)
 
     jobs = [
@@ -305,6 +306,21 @@ def search_params(
     return sorted(ranked, key=lambda t: (-(t["mean_auc"] or 0.0), t["trial"]))
 
 
+def refit_best(
+    assembled: DataFrame,
+    make: Callable[..., ModelSpec],
+    ranked: Sequence[Mapping[str, Any]],
+    folds: int = 5,
+    seed: int = 42,
+    workers: int = 4,
+) -> CrossFit:
+    """Cross-fit the best trial of ``search_params``, on as many folds as asked for.
+
+    ``assembled`` holds the folds to fit on, usually more than the search used.
+    """
+    return cross_fit(assembled, {"best": make(**ranked[0]["params"])}, folds, seed, "refit", workers)
+
+
 def importance_topk(
     model: Model, names: Sequence[str], k: int, spark: SparkSession | None = None
 ) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -46,35 +46,53 @@ def keep_code_compilable(spark: SparkSession) -> None:
         spark.conf.set(METHOD_LIMIT, "8000")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names, or None.
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names.
 
     Only a local session, whose executors live on this machine, gets a
-    temporary folder of its own when none is named.
+    temporary folder of its own when none is named. A cluster that names none
+    is an error: there is no other place that all executors can read.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
-        return None
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tabloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_run: list[str] = []
+
+
+@contextmanager
+def run_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialise`` makes inside, when the block ends.
+
+    Results must have been written or collected by then.
+    """
+    _run.append(uuid.uuid4().hex)
+    folder = os.path.join(shared_folder(spark), "tabloom", *_run)
+    try:
+        yield
+    finally:
+        _run.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once and read it back, cutting its lineage.
 
     Used where a result feeds several jobs. Parquet in the shared folder
     survives the loss of executors and keeps column pruning for the readers;
     with ``partition_by`` readers of one value also skip the others' files.
-    Without a shared folder the lineage is kept and the rows are cached.
+    The table stays there until ``run_tables`` ends, if one is open, or until
+    its folder is cleared.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = os.path.join(folder, "tabloom", uuid.uuid4().hex)
+    path = os.path.join(shared_folder(spark), "tabloom", *_run, uuid.uuid4().hex)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
