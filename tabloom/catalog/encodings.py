@@ -209,7 +209,7 @@ def encoder_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changing the test rows changes no statistic of the training rows."""
     base = orders_frame(spark, sf_dir).select("id", "split", "fold", "y", *CATS)
     moved = base.withColumn(
-        "segment", F.when(F.col("split") == "test", F.lit("OTHER")).otherwise(F.col("segment"))
+        "segment", F.when(F.col("split") == "test", F.lit("A_OTHER")).otherwise(F.col("segment"))
     )
 
     def encoded(df: DataFrame, out: str) -> DataFrame:
