@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -89,35 +89,53 @@ def fit_sentence_model(
     ones = float(np.clip(labels.mean() if n else 0, 1e-6, 1 - 1e-6))
     if n == 0 or labels.min() == labels.max():
         return SentenceModel(float(np.log(ones / (1 - ones))), {})
-    split = [[x[2] for x in sentences(t)] for t in texts]
-    seen = Counter(f for doc in split for f in {f for w in set().union(*doc) for f in word_features(w)})
-    kept = sorted((f for f, c in seen.items() if c >= least_docs), key=lambda f: (-seen[f], f))
-    place = {f: i for i, f in enumerate(kept[:most_features])}
-    of_word: dict[str, list[int]] = {}
-    docs, own, index = [], [], []
-    for d, doc in enumerate(split):
-        for sentence in doc:
-            for word in sorted(sentence):
-                if (hits := of_word.get(word)) is None:
-                    hits = of_word[word] = [place[f] for f in word_features(word) if f in place]
-                own += [len(docs)] * len(hits)
-                index += hits
+    # Words by number: those of each sentence, and the features of each word.
+    numbers: dict[str, int] = {}
+    tokens, lengths, docs = array("i"), array("i"), array("i")
+    for d, text in enumerate(texts):
+        for _, _, words in sentences(text):
+            tokens.extend([numbers.setdefault(w, len(numbers)) for w in sorted(words)])
+            lengths.append(len(words))
             docs.append(d)
-    docs, own, index = np.array(docs, int), np.array(own, int), np.array(index, int)
-    y, weights, bias = labels.astype(float), np.zeros(len(place)), -7.0
-    first, second = np.zeros(len(place) + 1), np.zeros(len(place) + 1)
+    tokens, docs = np.array(tokens, np.int32), np.array(docs, np.int32)
+    place: dict[str, int] = {}
+    of_word = [[place.setdefault(f, len(place)) for f in word_features(w)] for w in numbers]
+    word = np.repeat(np.arange(len(of_word), dtype=np.int32), [len(x) for x in of_word])
+    feature = np.fromiter((f for x in of_word for f in x), np.int32, len(word))
+    first_of = np.searchsorted(word, np.arange(len(of_word) + 1))
+    # In how many documents each feature is.
+    seen, start = np.zeros(len(place), np.int64), 0
+    sizes = np.bincount(docs, np.array(lengths), minlength=n).astype(int)
+    for size in sizes:
+        own = np.unique(tokens[start : start + size])
+        start += size
+        if size:
+            seen[np.unique(np.concatenate([feature[first_of[w] : first_of[w + 1]] for w in own]))] += 1
+    order = np.argsort(-seen, kind="stable")[:most_features]
+    order = np.sort(order[seen[order] >= least_docs])
+    renumbered = np.full(len(place), -1)
+    renumbered[order] = np.arange(len(order))
+    word, feature = word[renumbered[feature] >= 0], renumbered[feature[renumbered[feature] >= 0]]
+    sentence = np.repeat(np.arange(len(docs), dtype=np.int32), np.array(lengths, int))
+    n_words, n_features = len(numbers), len(order)
+    y, weights, bias = labels.astype(float), np.zeros(n_features), -7.0
+    first, second = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, rounds + 1):
-        z = bias + np.bincount(own, weights[index], minlength=len(docs))
+        of_words = np.bincount(word, weights[feature], minlength=n_words)
+        z = bias + np.bincount(sentence, of_words[tokens], minlength=len(docs))
         total = np.bincount(docs, softplus(z), minlength=n) + 1e-9
         by_total = np.where(y == 1, -np.exp(-total) / -np.expm1(-total), 1.0)
         slope = by_total[docs] / (1 + np.exp(-z))
-        gradient = np.bincount(index, slope[own], minlength=len(place)) + ridge * weights
+        by_word = np.bincount(tokens, slope[sentence], minlength=n_words)
+        gradient = np.bincount(feature, by_word[word], minlength=n_features) + ridge * weights
         gradient = np.append(gradient, slope.sum()) / n
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         move = rate * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         weights, bias = np.maximum(weights - move[:-1], 0), bias - move[-1]
-    return SentenceModel(bias, {f: float(weights[i]) for f, i in place.items() if abs(weights[i]) > 0.01})
+    names = list(place)
+    chosen = {names[f]: float(w) for f, w in zip(order, weights) if w > 0.01}
+    return SentenceModel(float(bias), chosen)
 
 
 def score_toxicity(
