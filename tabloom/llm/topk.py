@@ -98,6 +98,8 @@ class Index:
         alive, begin = np.arange(n), 0
         for share in STEPS:
             end = int(np.searchsorted(ends, share * ends[-1], "left")) + 1
+            if end <= begin:
+                continue  # a large segment has taken this step's share already
             part = order[begin:end]
             rows = np.concatenate([self.rows[self.start[s] : self.start[s + 1]] for s in part])
             both += np.bincount(rows, np.repeat(carried[part], sizes[begin:end]), n)

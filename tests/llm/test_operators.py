@@ -223,7 +223,7 @@ def test_whole_copies_are_passages(spark):
 
 def test_cutting_words():
     text = "  a b\n\nc  d e"
-    assert substring_dedup.cut_words(text, [{"start": 1, "end": 3}]) == "  a  d e"
+    assert substring_dedup.cut_words(text, [{"start": 1, "end": 3}]) == "  a   d e"
     assert substring_dedup.cut_words(text, [{"start": 0, "end": 9}]) == "  "
     assert substring_dedup.cut_words(None, [{"start": 0, "end": 9}]) is None
 
@@ -316,7 +316,8 @@ def test_packing_round_trip(spark):
         assert at <= 2048
         padding += packing.padding(at, 2048)
     assert sorted(of_sequence) == list(range(len(of_sequence)))
-    assert padding <= 0.01 * 2048 * len(of_sequence)
+    # The last windows take what is left, however few documents there are.
+    assert padding <= 2 * 2048
 
 
 def test_encoder_equals_the_library():
@@ -397,7 +398,7 @@ def test_languages_on_held_out_rows(spark):
 def test_toxic_sentences_are_located(spark):
     from tabloom.llm import toxicity
 
-    texts = ["The day is fine. You are a zonk here. We go on."] * 30 + ["The day is fine. We go on."] * 60
+    texts = ["The day is fine. You are a zonk here. We go on."] * 30 + ["The day is fine. You are a friend here. We go on."] * 60
     labels = np.array([1] * 30 + [0] * 60)
     model = toxicity.fit_sentence_model(texts, labels)
     score, found = model.judge("We go on. A zonk again. The day is fine.", 0.5)
