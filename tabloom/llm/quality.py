@@ -38,7 +38,7 @@ class Shapes(dict):
         for i, n in enumerate((letters, digits, signs), 1):
             found |= min(n, (1 << 15) - 1) << 16 * i
         if len(token) <= 32:
-            if len(self) > 300_000:
+            if len(self) > 100_000:
                 self.clear()
             self[token] = found
         return found

@@ -17,7 +17,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word)
         if len(word) <= 48:
-            if len(self) > 400_000:
+            if len(self) > 100_000:
                 self.clear()
             self[word] = found
         return found

@@ -45,7 +45,7 @@ class SentenceModel(dict):
         self.bias, self.weights = bias, weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         found = sum(self.weights.get(f, 0.0) for f in word_features(word))
         if len(word) <= 32:
