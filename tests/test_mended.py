@@ -1,6 +1,7 @@
 """Faults that were mended: numeric flags, rules on NULL, weights, missing scores, sizes."""
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ from tabloom.operators.features import (
 )
 from tabloom.operators.groupstats import GroupStats, StatBlock
 from tabloom.plans import prepare, run_plan
+from tabloom.plans.subscription import PLANS
 from tabloom.session import materialise, run_tables
 
 
@@ -177,7 +179,8 @@ def test_run_with_several_blends_and_without_the_external_table(spark):
     assert all(math.isfinite(v) for v in result.metrics.values())
     best = result.metrics[f"{result.method}_blend_42"] + result.metrics[f"{result.method}_blend_1042"]
     assert all(best >= result.metrics[f"{m}_blend_42"] + result.metrics[f"{m}_blend_1042"] for m in methods)
-    alone = run_plan(ready, models, "slim", folds=2, method="mean", fold_mode="exact")
+    without = replace(PLANS["fast"], name="alone", uses_external=False)
+    alone = run_plan(ready, models, without, folds=2, method="mean", fold_mode="exact")
     assert alone.base_scores.filter("split = 'train'").count() == 2 * 300
 
 
