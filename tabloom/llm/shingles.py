@@ -11,21 +11,6 @@ _ODD = np.array(
 )
 
 
-class WordHashes(dict):
-    """64-bit hashes of words (as bytes); short ones are remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh64_intdigest(word)
-        if len(word) <= 48:
-            if len(self) > 100_000:
-                self.clear()
-            self[word] = found
-        return found
-
-
-HASHES = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -34,7 +19,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    """64-bit hashes; hashing anew takes less time than looking words up."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

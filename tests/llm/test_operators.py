@@ -6,6 +6,7 @@ from itertools import combinations
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +214,20 @@ def test_repeated_passages(spark):
     assert len(substring_dedup.repeated_passages(df.withColumn("text", F.lit("a b c " * 8))).collect()) == 0
 
 
+def test_shingles_of_many_parts():
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(-(2**31), 2**31, n, dtype=np.int32) for n in (0, 3, 5, 90, 4, 0, 7)]
+    column = pa.array(parts, pa.list_(pa.int32()))
+    for chunk in (1, 8, 1 << 18):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(substring_dedup, "CHUNK", chunk)
+            found = list(substring_dedup.shingles_of(column.slice(1), 5))
+        assert len(found) == len(parts) - 1
+        for part, got in zip(parts[1:], found):
+            alone = shingle_hashes(part.view(np.uint32).astype(np.uint64), 5) if len(part) >= 5 else []
+            assert list(got) == list(alone)
+
+
 def test_whole_copies_are_passages(spark):
     rng = random.Random(8)
     text = " ".join(f"c{rng.randrange(10**6)}" for _ in range(120))
