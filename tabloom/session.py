@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 METHOD_LIMIT_DEFAULT = "65535"
+#: Spark's setting to remove a query's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: str | int = "*", app: str = "tabloom", **conf: str) -> SparkSession:
@@ -82,6 +85,36 @@ def run_tables(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_cleaning = threading.Lock()
+_cleaned_for: dict[int, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside leave no shuffle files.
+
+    Only for queries that write what they compute, as nothing can be reused
+    from their shuffles. Blocks may overlap in threads; the last one to end
+    puts the setting back.
+    """
+    name = id(spark._jsparkSession)
+    with _cleaning:
+        depth, before = _cleaned_for.get(name, (0, spark.conf.get(SHUFFLE_CLEANUP, None)))
+        _cleaned_for[name] = depth + 1, before
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _cleaning:
+            depth, before = _cleaned_for.pop(name)
+            if depth > 1:
+                _cleaned_for[name] = depth - 1, before
+            elif before is None:
+                spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once and read it back, cutting its lineage.
 
@@ -89,11 +122,12 @@ def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     survives the loss of executors and keeps column pruning for the readers;
     with ``partition_by`` readers of one value also skip the others' files.
     The table stays there until ``run_tables`` ends, if one is open, or until
-    its folder is cleared.
+    its folder is cleared. Shuffle files of the computation go when it ends.
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), "tabloom", *_run, uuid.uuid4().hex)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with shuffles_removed(spark):
+        df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

@@ -25,7 +25,7 @@ from tabloom.operators.features import (
 from tabloom.operators.groupstats import GroupStats, StatBlock
 from tabloom.plans import prepare, run_plan
 from tabloom.plans.subscription import PLANS
-from tabloom.session import materialise, run_tables
+from tabloom.session import SHUFFLE_CLEANUP, materialise, run_tables, shuffles_removed
 
 
 def test_flags_on_numbers_and_nulls(spark):
@@ -124,6 +124,16 @@ def test_long_keys_are_measured_before_they_are_collected(spark):
     assert not lookup.settle(table, ["k"], max_bytes=50_000).small
 
 
+def test_shuffle_cleanup_is_put_back(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with shuffles_removed(spark):
+        grouped = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+        kept = materialise(grouped)
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert kept.count() == 7 and grouped.count() == 7 and grouped.collect()
+
+
 def test_run_tables_are_deleted(spark):
     with run_tables(spark):
         kept = materialise(spark.range(10))
