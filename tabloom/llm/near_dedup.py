@@ -16,7 +16,8 @@ from tabloom.llm.shingles import hash_words, mix, shingle_hashes
 from tabloom.session import materialise
 
 #: 25 bands of 5 MinHash samples miss a pair of similarity 0.85 once in two
-#: million; the odd sketch folds twice as many samples.
+#: million; lower similarities get more bands (``band_count``). The odd sketch
+#: folds all samples.
 BANDS, ROWS = 25, 5
 SAMPLES = 2 * BANDS * ROWS
 SKETCH_WORDS = 16
@@ -49,12 +50,23 @@ def min_hashes(found: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
+def band_count(similarity: float) -> int:
+    """Bands that miss a pair of this similarity at most once in two million.
+
+    From 0.75 down that takes more than all samples give, so all are used.
+    """
+    count = BANDS
+    while (1 - similarity**ROWS) ** count > 5e-7 and (count + 1) * ROWS <= SAMPLES:
+        count += 1
+    return count
+
+
+def band_keys(samples: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """A 64-bit key for each band of samples; equal bands have equal keys."""
-    bands = samples[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    values = samples[: bands * ROWS].reshape(bands, ROWS).astype(np.uint64)
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
     for i in range(ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, i])
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + values[:, i])
     return keys.view(np.int64)
 
 
@@ -79,7 +91,7 @@ def most_different_bits(similarity: float) -> int:
     return int(min(2 * differing, expected + 3 * np.sqrt(expected * expected / bits) + 4))
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
+def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
     """doc_id, n, digest (of the set), bands, sketch; of each row of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,17 +104,17 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     (
                         len(found),
                         hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
-                        band_keys(samples) if len(found) else np.zeros(0, np.int64),
+                        band_keys(samples, bands) if len(found) else np.zeros(0, np.int64),
                         odd_sketch(samples),
                     )
                 )
-            n, digest, bands, sketch = zip(*rows) if rows else [[]] * 4
+            n, digest, keys, sketch = zip(*rows) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(n, pa.int64()),
                     pa.array(digest, pa.binary()),
-                    pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(keys, pa.list_(pa.int64())),
                     pa.array(sketch, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n", "digest", "bands", "sketch"],
@@ -144,6 +156,7 @@ def close_pairs(similarity: float, exact: bool):
     that this has put into one component are not compared any more.
     """
     most, hundredths = most_different_bits(similarity), round(100 * similarity)
+    width = band_count(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 3):
@@ -153,7 +166,7 @@ def close_pairs(similarity: float, exact: bool):
             part = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
             sketch = group["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64)
             sketch = sketch.reshape(-1, SKETCH_WORDS)
-            bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, width)
             sets = group["found"].combine_chunks() if exact else None
             (left,), (right,) = np.nonzero(role == 0), np.nonzero(role == 1)
             found_a, found_b = [], []
@@ -254,7 +267,7 @@ def near_duplicates(
     numbers.
     """
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
-    signed = materialise(signatures(rows, size))
+    signed = materialise(signatures(rows, size, band_count(similarity)))
     present = signed.filter("n > 0 and doc_id is not null")
     classes = present.groupBy("digest").agg(F.min("doc_id").alias("node"))
     member = materialise(

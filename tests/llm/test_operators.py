@@ -117,6 +117,24 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, crowded):
     assert found == brute_components(texts, 3, 0.85)
 
 
+def test_bands_for_lower_similarity():
+    assert near_dedup.band_count(0.85) == near_dedup.BANDS
+    for hundredths in range(78, 101):
+        similarity = hundredths / 100
+        assert (1 - similarity**near_dedup.ROWS) ** near_dedup.band_count(similarity) <= 5e-7
+
+
+def test_near_duplicate_stage_takes_five_words_and_lower_similarity(spark):
+    """A fifth of new text appended leaves a similarity of 0.83; 70 of 90 shingles (0.78) are too few."""
+    import corpus_pipeline
+
+    base = [f"b{i}" for i in range(104)]
+    other = [f"o{i}" for i in range(74)]
+    texts = [base, base + [f"n{i}" for i in range(20)], other, other + [f"m{i}" for i in range(20)]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, SMALL).collect()) == [0, 2, 3]
+
+
 def test_odd_sketch_lets_similar_sets_pass():
     rng = np.random.default_rng(3)
     most = near_dedup.most_different_bits(0.85)
