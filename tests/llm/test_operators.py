@@ -294,6 +294,60 @@ def test_enough_functions_for_least_similar_passages():
     assert met / tries >= 0.98
 
 
+def shingles_of_words(words, size=5):
+    return shingle_hashes(np.array([zlib.crc32(w.encode()) for w in words], np.uint64), size)
+
+
+@pytest.mark.parametrize("swapped", [False, True])
+@pytest.mark.parametrize("left,inserted,right", [(40, 7, 40), (45, 7, 45), (25, 11, 75), (20, 1, 30), (9, 0, 41)])
+def test_passages_over_inserted_words(left, inserted, right, swapped):
+    """Also where no run alone has the least words; both sides may have the longer text."""
+    words = [f"w{i}" for i in range(left + right)]
+    longer = words[:left] + [f"i{i}" for i in range(inserted)] + words[left:]
+    one, two = ["p"] * 3 + words + ["q"] * 9, ["r"] * 6 + longer + ["s"]
+    if swapped:
+        one, two = two, one
+    found = substring_dedup.shared_passages(shingles_of_words(one), shingles_of_words(two), 5, 50, 0.75)
+    starts = (6, 3) if swapped else (3, 6)
+    lengths = (len(longer), len(words)) if swapped else (len(words), len(longer))
+    assert [f[:4] for f in found] == [(starts[0], starts[0] + lengths[0], starts[1], starts[1] + lengths[1])]
+
+
+def test_passages_equal_brute_force_over_edits():
+    """A passage is found if any two spans are similar enough, and each found one is."""
+    rng = random.Random(13)
+    some = 0
+    for _ in range(120):
+        words = [f"w{i}" for i in range(rng.randint(18, 30))]
+        copy = list(words)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randint(0, 3)] = [f"e{rng.random()}" for _ in range(rng.randint(0, 3))]
+        a, b = shingles_of_words(words, 2), shingles_of_words(copy, 2)
+        best = 0.0
+        for p in range(len(a)):
+            for x in np.flatnonzero(b == a[p]):
+                for q in range(p + 11, len(a) + 1):
+                    for v in np.flatnonzero(b == a[q - 1]) + 1:
+                        if v - x >= 11:
+                            best = max(best, substring_dedup.jaccard(a[p:q], b[x:v]))
+        found = substring_dedup.shared_passages(a, b, 2, 12, 0.7)
+        assert bool(found) == (best >= 0.7)
+        some += bool(found)
+        for p, q, x, v, alike in found:
+            assert q - p >= 12 and v - x >= 12 and alike >= 0.7
+            assert alike == substring_dedup.jaccard(a[p : q - 1], b[x : v - 1])
+    assert 20 < some < 115
+
+
+def test_phrase_repeated_throughout_is_a_passage(monkeypatch):
+    words = ["a", "b", "c"] * 40
+    for matches in (1 << 22, 0):
+        monkeypatch.setattr(substring_dedup, "MATCHES", matches)
+        found = substring_dedup.shared_passages(shingles_of_words(words), shingles_of_words(words), 5, 50, 0.8)
+        assert (0, 120, 0, 120, 1.0) in found
+
+
 def test_shingles_of_many_parts():
     rng = np.random.default_rng(3)
     parts = [rng.integers(-(2**31), 2**31, n, dtype=np.int32) for n in (0, 3, 5, 90, 4, 0, 7)]
