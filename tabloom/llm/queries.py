@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, language_id, near_dedup, packing, quality, token_counts
-from tabloom.llm import substring_dedup, topk, toxicity, url_filter
+from tabloom.llm import decontamination, language_id, near_dedup, packing, prefix_trie, quality
+from tabloom.llm import substring_dedup, token_counts, topk, toxicity, url_filter, whitening
 from tabloom.llm.common import id_bucket
 
 URL_RULES = [
@@ -93,6 +93,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -106,6 +115,8 @@ QUERIES = {
         op8_language_id,
         op9_near_dedup,
         op10_packing,
+        op12_embedding_whitening,
+        op13_prefix_trie,
     )
 }
 
@@ -169,4 +180,27 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS s
 k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
     FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5""",
+    "op13_prefix_trie": """
+WITH o AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (SELECT conv_id, t, CAST(xor(4294967295::BIGINT, list_reduce(
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda a, b: list_reduce(range(8::BIGINT), lambda x, i: xor(x >> 1, CASE WHEN (x & 1) = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END),
+        CAST(xor(a, b) AS BIGINT)), 4294967295::BIGINT)) % 9 AS INTEGER) AS h FROM o),
+r AS (SELECT c.conv_id, coalesce(b.t[1:c.h], []) || c.t[c.h + 1:] AS t
+    FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, len(t) AS n, d, t[1:d] AS k FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM r)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+      coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends
+    FROM p GROUP BY k, d),
+y AS (SELECT k[1:d - 1] AS k1, d - 1 AS d1, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+g AS (SELECT n.*, u.conv_id AS parent_conv_id, coalesce(n_children, 0) AS n_children,
+      (n.n_convs - 1) * coalesce(strlen(n.k[-1].t), 0) AS saved
+    FROM n LEFT JOIN y ON d1 = n.d AND k1 = n.k LEFT JOIN n u ON u.d = n.d - 1 AND u.k = n.k[1:n.d - 1]),
+s AS (SELECT k[1:i] AS k, i AS d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT k, n_children, saved, unnest(range(0, d + 1)) AS i FROM g) GROUP BY ALL)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM g JOIN s USING (k, d)""",
 }
