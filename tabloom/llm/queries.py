@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, language_id, near_dedup, packing, prefix_trie, quality
-from tabloom.llm import substring_dedup, token_counts, topk, toxicity, url_filter, whitening
+from tabloom.llm import decontamination, language_id, near_dedup, packing, personal_data, prefix_trie
+from tabloom.llm import quality, substring_dedup, token_counts, topk, toxicity, url_filter, whitening
 from tabloom.llm.common import id_bucket
 
 URL_RULES = [
@@ -93,6 +93,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["by_rule"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in personal_data.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+    )
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(read(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
@@ -115,6 +134,7 @@ QUERIES = {
         op8_language_id,
         op9_near_dedup,
         op10_packing,
+        op11_personal_data,
         op12_embedding_whitening,
         op13_prefix_trie,
     )
