@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalog.base import B, orders_frame, query, rounded, table
 from tabloom.operators.encode import (
+    CategoryEncoders,
     FrequencyEncoder,
     LabelEncoder,
     TargetEncoder,
@@ -177,6 +178,65 @@ def woe_encode_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.transform(train).select("id", "nation_woe"), 9)
 
 
+_LONG = ["customer", "price", "day"]
+
+
+@query(
+    "encode_long_columns",
+    """WITH b AS (SELECT o_orderkey AS id, o_orderkey % 5 < 2 AS test, o_orderkey // 5 % 5 AS fold,
+      CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
+      CASE WHEN o_orderkey % 5 < 2 THEN 'walk-in' ELSE CAST(o_custkey AS VARCHAR) END AS customer,
+      CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS price,
+      CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day
+    FROM orders), g AS (SELECT avg(y) AS g FROM b WHERE NOT test), """
+    + ", ".join(
+        f"""{c}_o AS (SELECT coalesce({c}, 'nan') AS v, fold, sum(y) AS s, count(*) AS n, count({c}) AS m
+      FROM b WHERE NOT test GROUP BY ALL),
+    {c}_a AS (SELECT v, sum(s) AS s, sum(n) AS n, sum(m) / sum(sum(m)) OVER () AS share FROM {c}_o GROUP BY v),
+    {c}_c AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+      FROM (SELECT DISTINCT coalesce({c}, 'nan') AS v FROM b))"""
+        for c in _LONG
+    )
+    + " SELECT id, "
+    + ", ".join(
+        f"""round(CASE WHEN {c} IS NULL THEN 0 ELSE coalesce({c}_a.share, 0) END::DOUBLE, 9) AS {c}_freq,
+      round(coalesce(CASE WHEN test THEN ({c}_a.s + g * 10) / ({c}_a.n + 10)
+        ELSE ({c}_a.s - {c}_o.s + g * 10) / ({c}_a.n - {c}_o.n + 10) END, g), 9) AS {c}_te, {c}_c.code AS {c}_code"""
+        for c in _LONG
+    )
+    + " FROM b CROSS JOIN g "
+    + " ".join(
+        f"""LEFT JOIN {c}_a ON coalesce({c}, 'nan') = {c}_a.v
+    LEFT JOIN {c}_o ON coalesce({c}, 'nan') = {c}_o.v AND b.fold = {c}_o.fold
+    JOIN {c}_c ON coalesce({c}, 'nan') = {c}_c.v"""
+        for c in _LONG
+    ),
+)
+def encode_long_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three encoders on three long columns, one with a value that 40 % of the
+    rows have and no training row."""
+    key = F.col("o_orderkey")
+    test = key % 5 < 2
+    rows = table(spark, sf_dir, "orders").select(
+        key.alias("id"),
+        F.when(test, "test").otherwise("train").alias("split"),
+        (F.expr("o_orderkey div 5") % 5).cast("int").alias("fold"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("y"),
+        F.when(test, "walk-in").otherwise(F.col("o_custkey").cast("string")).alias("customer"),
+        F.floor("o_totalprice").cast("string").alias("price"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+    )
+    encoders = [
+        FrequencyEncoder(_LONG),
+        TargetEncoder(_LONG, "y", "fold"),
+        LabelEncoder(_LONG, suffix="_code"),
+    ]
+    # So small a bound takes every column the way of long ones.
+    encoded = CategoryEncoders(encoders).fit(rows, max_rows=100).transform(rows)
+    columns = [f"{c}_{e}" for c in _LONG for e in ("freq", "te", "code")]
+    return rounded(encoded.select("id", *columns), 9)
+
+
 @query(
     "standardise",
     B

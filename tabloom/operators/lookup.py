@@ -6,10 +6,14 @@ once, counts its rows and bytes, and
 
 * a handful of keys becomes a constant map inside the projection,
 * a table proven to fit becomes a local relation that is broadcast,
-* a larger one is joined by key with its heaviest keys taken out: a key
-  holding at least 1/HOT_KEYS of the fitted rows can occur at most HOT_KEYS
-  times in the table, so that part has a proven bound and is broadcast, while
-  the rows of those keys are spread over many partitions of the other join.
+* all larger ones together are joined narrowly: the rows are stored once with
+  a number, their keys become one thin table (number, search, key) that meets
+  one thin table of all key tables, and what is found goes back to the rows in
+  one join by number. So rows of any width are shuffled once, however many
+  tables are long. Keys that are frequent among the rows, whether or not they
+  were when the table was fitted, are found by a sketch of frequent items; at
+  most HOT_KEYS of them can hold 1/HOT_KEYS of all keys, so their part of the
+  tables is broadcast and their rows are not shuffled by key.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, and_, or_
+from operator import add, and_
 from typing import Any
 
 import pyarrow as pa
@@ -27,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.session import materialise, shuffle_width
+from tabloom.session import materialise, materialise_measured
 
 # Bounds of what may be broadcast.
 MAX_ROWS = 100_000
@@ -36,10 +40,10 @@ MAX_BYTES = 32 * 1024 * 1024
 PARTS_TOGETHER = 4
 # Up to this many keys a scan of a constant map is as fast as a hash lookup.
 CONSTANT_KEYS = 32
-# Keys with at least this share (1/HOT_KEYS) of all rows are treated apart.
+# Keys with at least this share (1/HOT_KEYS) of all keys are treated apart.
 HOT_KEYS = 1024
-# The rows of a hot key are spread over at least this many partitions.
-HOT_SPREAD = 256
+# Items of the sketch that finds them: it misses none that has 1/4000.
+TRACKED = 10_000
 
 
 @dataclass(frozen=True)
@@ -95,35 +99,34 @@ def settle(
     max_rows: int | None = None,
     max_bytes: int | None = None,
     part: str | None = None,
+    parts: Sequence[Any] = (),
 ) -> Lookup:
     """Compute a key table once and decide by its size how it will be joined.
 
-    The table is written out and measured before any row of it is collected.
-    With ``part``, a column of few values (one per encoded column or key set),
-    every part is decided on by itself, so a long one leaves the short ones
-    small.
+    The table is written out, and measured by the write, before any row of it
+    is collected. With ``part``, a column that has the values ``parts`` (one
+    per encoded column or key set), every part is decided on by itself, so a
+    long one leaves the short ones small.
     """
     max_rows = MAX_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BYTES if max_bytes is None else max_bytes
-    stored = materialise(table)
-    by = [part] if part else []
-    sizes = (
-        stored.groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(_row_bytes(stored.schema)), F.lit(0)).alias("bytes"),
-        )
-        .collect()
-    )
+    row_bytes = _row_bytes(table.schema)
+    measures = {}
+    for i, value in enumerate(parts if part else [None]):
+        inside = F.col(part) == F.lit(value) if part else F.lit(True)
+        measures[f"rows{i}"] = F.count_if(inside)
+        measures[f"bytes{i}"] = F.coalesce(F.sum(F.when(inside, row_bytes)), F.lit(0))
+    stored, found = materialise_measured(table, measures)
+    sizes = [(found[f"bytes{i}"], found[f"rows{i}"], i) for i in range(len(measures) // 2)]
     # Smallest first, as long as all of them together stay within a few bounds.
     small, rows, size = [], 0, 0
-    for found in sorted(sizes, key=lambda r: r["bytes"]):
-        rows, size = rows + found["rows"], size + found["bytes"]
-        if found["rows"] > max_rows or found["bytes"] > max_bytes:
+    for own_bytes, own_rows, i in sorted(sizes):
+        rows, size = rows + own_rows, size + own_bytes
+        if own_rows > max_rows or own_bytes > max_bytes:
             continue
         if rows > PARTS_TOGETHER * max_rows or size > PARTS_TOGETHER * max_bytes:
             break
-        small.append(found[part] if part else None)
+        small.append(parts[i] if part else None)
     if len(small) == len(sizes):
         head: pa.Table = stored.toArrow()
         local = table.sparkSession.createDataFrame(head, schema=table.schema)
@@ -157,24 +160,19 @@ def look_up(
     columns (NULL where the key is not found), and the helpers to drop.
     """
     columns = set(df.columns)
+    long = {i: s for i, s in enumerate(searches) if not (s.lookup.constant or s.lookup.small)}
+    if long:
+        df = _join_narrow(df, long)
     found: list[dict[str, Column]] = []
     for i, search in enumerate(searches):
-        if search.lookup.constant:
+        if i in long:
+            found.append({v: F.col(f"__n{i}_val{j}") for j, v in enumerate(search.values)})
+        elif search.lookup.constant:
             found.append(_from_constant(search))
-        elif search.lookup.small:
+        else:
             side = _set_apart(search.lookup.table, search.lookup.keys, search.values, f"b{i}")
             df = df.join(F.broadcast(side), _meets(search.on, f"b{i}"), "left")
             found.append({v: F.col(f"__b{i}_val{j}") for j, v in enumerate(search.values)})
-        else:
-            df = _join_large(df, search, str(i))
-            found.append(
-                {
-                    v: F.when(F.col(f"__h{i}_hit"), F.col(f"__h{i}_val{j}")).otherwise(
-                        F.col(f"__c{i}_val{j}")
-                    )
-                    for j, v in enumerate(search.values)
-                }
-            )
     return df, found, [c for c in df.columns if c not in columns]
 
 
@@ -220,7 +218,6 @@ def _set_apart(
     return table.select(
         *[F.col(f"`{k}`").alias(f"__{side}_key{i}") for i, k in enumerate(keys)],
         *[F.col(f"`{v}`").alias(f"__{side}_val{i}") for i, v in enumerate(values)],
-        F.lit(True).alias(f"__{side}_hit"),
     )
 
 
@@ -229,37 +226,66 @@ def _meets(on: Sequence[Column], side: str) -> Column:
     return reduce(and_, pairs)
 
 
-def _join_large(df: DataFrame, search: Search, tag: str) -> DataFrame:
-    lookup = search.lookup
-    table, weight = lookup.table, F.col(lookup.weight)
-    total = table.agg(F.sum(weight)).scalar()
-    is_hot = weight * F.lit(HOT_KEYS) >= total
-    hot = _set_apart(table.filter(is_hot), lookup.keys, search.values, f"h{tag}")
-    cold = _set_apart(table.filter(~is_hot), lookup.keys, search.values, f"c{tag}")
-
-    names = [f"__on{tag}_{i}" for i in range(len(search.on))]
-    rows = df.select("*", *[c.alias(name) for c, name in zip(search.on, names)])
-    on = [F.col(name) for name in names]
-    served = rows.join(F.broadcast(hot), _meets(on, f"h{tag}"), "left")
-    # Rows already served by the hot side, and rows without a key, meet nothing
-    # in the cold side. A salt no cold row has spreads them over partitions.
-    # The salt is a hash of the row, so a recomputed task repeats it.
-    no_key = reduce(or_, [column.isNull() for column in on])
-    width = max(HOT_SPREAD, shuffle_width(df.sparkSession))
-    spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(width)) + F.lit(1)
-    salt, cold_salt = f"__salt{tag}", f"__c{tag}_salt"
-    salted = served.withColumn(
-        salt, F.when(F.col(f"__h{tag}_hit") | no_key, spread).otherwise(F.lit(0))
-    )
-    # Always 0, but not a constant to the optimizer: a constant would turn the
-    # salt into a filter and leave it out of the partitioning.
-    zero = F.pmod(F.xxhash64(*[f"__c{tag}_key{i}" for i in range(len(on))]), F.lit(1))
-    same_salt = F.col(salt) == F.col(cold_salt)
-    return salted.join(
-        cold.withColumn(cold_salt, zero), _meets(on, f"c{tag}") & same_salt, "left"
-    )
+def _common_type(one: T.DataType, two: T.DataType) -> T.DataType:
+    """A type in which equal values of both have equal text."""
+    if one == two:
+        return one
+    if all(isinstance(t, T.IntegralType) for t in (one, two)):
+        return T.LongType()
+    if all(isinstance(t, T.NumericType) for t in (one, two)):
+        return T.DoubleType()
+    return T.StringType()
 
 
-def _hashable(df: DataFrame) -> list[Column]:
-    plain = (T.StringType, T.NumericType, T.DatetimeType, T.BooleanType)
-    return [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, plain)]
+def _key_text(columns: Sequence[Column], types: Sequence[T.DataType]) -> Column:
+    """The columns as one text, different for different values; NULL if any is."""
+    parts = []
+    for column, kind in zip(columns, types):
+        # Adding 0 makes -0.0 the 0.0 that it equals.
+        value = column.cast(kind) + F.lit(0.0) if isinstance(kind, T.FractionalType) else column.cast(kind)
+        parts.append(value.cast("string"))
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)])
+
+
+def frequent_keys(asked: DataFrame) -> list[int]:
+    """Hashes ``h`` that at least 1/HOT_KEYS of the rows have, so at most HOT_KEYS.
+
+    By a sketch of frequent items, which is merged from those of the tasks.
+    """
+    sketch = F.expr(f"approx_top_k(h, {HOT_KEYS}, {max(TRACKED, HOT_KEYS)})")
+    total, top = asked.agg(F.count(F.lit(1)), sketch).first()
+    return [item for item, count in top or () if count * HOT_KEYS >= total]
+
+
+def _join_narrow(df: DataFrame, searches: dict[int, Search]) -> DataFrame:
+    """The rows with the values of long key tables, as columns __n{search}_val{position}."""
+    rows = materialise(df.withColumn("__row", F.monotonically_increasing_id()))
+    entries, tables = [], []
+    for i, search in searches.items():
+        table, keys = search.lookup.table, search.lookup.keys
+        own = [f.dataType for f in rows.select(*search.on).schema.fields]
+        types = [_common_type(a, table.schema[k].dataType) for a, k in zip(own, keys)]
+        entries.append(F.struct(F.lit(i).alias("s"), _key_text(search.on, types).alias("k")))
+        tables.append(
+            table.select(
+                F.lit(i).alias("s"),
+                _key_text([F.col(f"`{k}`") for k in keys], types).alias("k"),
+                *[F.col(f"`{v}`").alias(f"__n{i}_val{j}") for j, v in enumerate(search.values)],
+            )
+        )
+    hashed = F.xxhash64("s", "k").alias("h")
+    asked = rows.select("__row", F.explode(F.array(*entries)).alias("e")).select("__row", "e.s", "e.k")
+    asked = asked.filter("k IS NOT NULL").select("*", hashed)
+    known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables).select("*", hashed)
+    values = known.columns[2:-1]
+
+    hot = frequent_keys(asked)
+    is_hot = F.col("h").isin(hot) if hot else F.lit(False)
+    served = asked.filter(is_hot).join(F.broadcast(known.filter(is_hot).drop("h")), ["s", "k"])
+    met = asked.filter(~is_hot).join(known.filter(~is_hot).drop("h"), ["s", "k"])
+    met = met.select("__row", *values).union(served.select("__row", *values))
+    # A row has at most one value of each search.
+    found = met.groupBy("__row").agg(*[F.first(v, ignorenulls=True).alias(v) for v in values])
+    return rows.join(found, "__row", "left")

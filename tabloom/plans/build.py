@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.clean import coerce_numeric, columns_of, fill_missing
-from tabloom.operators.encode import FrequencyEncoder, LabelEncoder, TargetEncoder, WoeEncoder
+from tabloom.operators.encode import (
+    CategoryEncoders,
+    FrequencyEncoder,
+    LabelEncoder,
+    TargetEncoder,
+    WoeEncoder,
+)
 from tabloom.operators.features import Feature, FeatureSet
 from tabloom.operators.groupstats import GroupStats
 from tabloom.operators.ranks import pct_ranks
@@ -75,14 +81,13 @@ def build_features(
         fits.append(FrequencyEncoder(categories))
     if plan.woe:
         fits.append(WoeEncoder(categories, target))
-    # All encoders read the raw categories, so they are fitted on the narrow
-    # input, not on the table that carries the features built so far.
-    source = frame.select(*keys, *categories)
-    for encoder in fits:
-        df = encoder.fit(source.filter(F.col("split") == "train")).transform(df)
-        features += [f"{c}{encoder.suffix}" for c in categories]
+    features += [f"{c}{encoder.suffix}" for encoder in fits for c in categories]
     if plan.label_codes:
-        df = LabelEncoder(categories).fit(source).transform(df)
+        fits.append(LabelEncoder(categories))
+    if fits and categories:
+        # All encoders read the raw categories, so they are fitted in one scan
+        # of the narrow input, not of the table that carries the features.
+        df = CategoryEncoders(fits).fit(frame.select(*keys, *categories)).transform(df)
     numeric = [c for c in features if plan.label_codes or c not in categories]
     df = fill_missing(df, numeric)
     return FeatureTable(df.select(*keys, *features), features)

@@ -8,8 +8,9 @@ import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 METHOD_LIMIT_DEFAULT = "65535"
@@ -115,6 +116,16 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+def materialise_measured(df: DataFrame, measures: dict[str, Column]) -> tuple[DataFrame, dict[str, Any]]:
+    """``materialise``, and aggregates of the rows that come with the write itself.
+
+    A task that ran twice may count twice, so take sums as upper bounds.
+    """
+    seen = Observation()
+    stored = materialise(df.observe(seen, *[m.alias(name) for name, m in measures.items()]))
+    return stored, seen.get
+
+
 def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once and read it back, cutting its lineage.
 

@@ -6,7 +6,14 @@ import pytest
 from fixture_tables import both, column
 from pyspark.sql import functions as F
 
-from tabloom.operators.encode import FrequencyEncoder, LabelEncoder, TargetEncoder, WoeEncoder
+from tabloom.operators import lookup
+from tabloom.operators.encode import (
+    CategoryEncoders,
+    FrequencyEncoder,
+    LabelEncoder,
+    TargetEncoder,
+    WoeEncoder,
+)
 from tabloom.operators.groupstats import GroupStats, StatBlock, stat_blocks, value_shares
 from tabloom.operators.ranks import RankSpec, exact_medians, pct_rank, pct_ranks
 from tabloom.operators.scale import ClusterFeatures, Standardise
@@ -138,6 +145,17 @@ def skewed(spark, rows=4000):
     return pdf, spark.createDataFrame(pdf).withColumn("v", F.expr("nullif(v, double('nan'))"))
 
 
+def nodes(df):
+    """All nodes of the physical plan."""
+    found, rest = [], [df._jdf.queryExecution().executedPlan()]
+    while rest:
+        node = rest.pop()
+        found.append(node)
+        children = node.children()
+        rest += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 @pytest.mark.parametrize("large", [False, True])
 def test_skewed_keys_and_values(spark, large, request):
     if large:
@@ -223,18 +241,21 @@ def test_cluster_distances(spark):
 
 
 def test_hot_keys_are_spread(spark, tiny_bounds):
-    """The salt is part of the partitioning, and rows of a hot key end up in
-    many partitions of the join."""
+    """Rows of a hot key end up in many partitions, also where it was not fitted."""
     _, df = skewed(spark)
-    model = GroupStats([StatBlock(("k",), ("v",))]).fit(df)
+    model = GroupStats([StatBlock(("k",), ("v",))]).fit(df.filter("k <> 'hot'"))
     width = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = model.transform(df)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
-        assert any("__on0_0" in line and "__salt0" in line for line in exchanges)
+        by_key = [n for n in nodes(out) if n.nodeName() == "SortMergeJoin" and "k#" in n.toString().split("],")[0]]
+        assert len(by_key) == 1
+        asked = df.select(F.xxhash64("k").alias("h")).filter("k IS NOT NULL")
+        assert lookup.frequent_keys(asked) == [df.filter("k = 'hot'").select(F.xxhash64("k")).first()[0]]
+        # It meets no table by key: the filter is in the plan of both its sides.
+        for side in (by_key[0].left(), by_key[0].right()):
+            assert " IN (" in side.toString() or "INSET" in side.toString() or " = " in side.toString()
         sizes = (
             out.filter("k = 'hot'")
             .groupBy(F.spark_partition_id().alias("p"))
@@ -246,3 +267,80 @@ def test_hot_keys_are_spread(spark, tiny_bounds):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def several(cols=("contract", "payment", "internet")):
+    cols = list(cols)
+    return [
+        TargetEncoder(cols, "y", "fold"),
+        FrequencyEncoder(cols),
+        WoeEncoder(cols, "y", fold_col="fold"),
+        LabelEncoder(cols, suffix="_code"),
+    ]
+
+
+def one_by_one(df, encoders):
+    train = df.filter("split = 'train'")
+    for encoder in encoders:
+        fitted_on = df if isinstance(encoder, LabelEncoder) else train
+        df = encoder.fit(fitted_on).transform(df)
+    return df
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_encoders_fitted_together_give_what_each_gives(spark, large, request):
+    if large:
+        request.getfixturevalue("tiny_bounds")
+    df = both(spark)
+    # A category of test rows alone, the text of a missing one, and a fold that lacks a category.
+    df = df.withColumn("payment", F.when(F.col("id") == 102, "test only").otherwise(F.col("payment")))
+    df = df.withColumn("internet", F.when(F.col("id").isin(2, 103), "nan").otherwise(F.col("internet")))
+    together = CategoryEncoders(several()).fit(df).transform(df)
+    apart = one_by_one(df, several())
+    assert set(together.columns) == set(apart.columns)
+    for name in apart.columns:
+        assert column(together, name) == column(apart, name), name
+
+
+def test_encoders_fitted_together_read_the_rows_once(spark):
+    df = both(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    watched = df.withColumn("contract", counted("contract")).select("id", "split", "fold", "y", "contract")
+    CategoryEncoders(several(["contract"])).fit(watched)
+    assert seen.value == df.count()
+
+
+def test_long_columns_shuffle_the_rows_once(spark, tiny_bounds):
+    """However many columns are long, and however many encoders there are."""
+    df = both(spark).withColumn("wide", F.repeat(F.lit("x"), 100))
+    model = CategoryEncoders(several()).fit(df)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = model.transform(df)
+        carries = [n for n in nodes(out) if "Exchange" in n.nodeName() and "wide#" in n.output().toString()]
+        assert len(carries) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_of_several_types_meet_in_the_narrow_join(spark, tiny_bounds):
+    table = spark.createDataFrame(
+        [(1, "a", 0.0, 10), (1, "a:1", 0.5, 20), (2, None, 1.0, 30)], "i int, t string, d double, v int"
+    ).withColumn("n_rows", F.lit(1))
+    rows = spark.createDataFrame(
+        [(1, 1, "a", -0.0), (2, 1, "a:1", 0.5), (3, 2, None, 1.0), (4, None, "a", 0.0), (1, 1, "a", -0.0)],
+        "id int, big long, t string, d double",
+    )
+    found = lookup.settle(table, ["i", "t", "d"])
+    on = [F.col("big"), F.col("t"), F.col("d")]
+    out = lookup.attach(rows, found, on, {"v": "got"})
+    assert out.columns == [*rows.columns, "got"]
+    assert sorted((r.id, r.got) for r in out.collect()) == [(1, 10), (1, 10), (2, 20), (3, None), (4, None)]
