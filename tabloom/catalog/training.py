@@ -78,6 +78,47 @@ def cross_fit_early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_model(fitted.scores)
 
 
+@query(
+    "cross_fit_auc_patience",
+    """SELECT unnest(range(0, 3))::INTEGER AS fold, TRUE AS stopped_early, TRUE AS first_best,
+      TRUE AS last_not_above, TRUE AS waited, TRUE AS cut_there, TRUE AS scores_agree, TRUE AS signal_found,
+      TRUE AS fewer_fitted""",
+)
+def cross_fit_auc_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosting stopped by held-out AUC, on a label with a signal and noise.
+
+    Per fold: it stopped before its most rounds, at the first round of the
+    highest AUC; the last AUC is not above it and patience was kept; the model
+    is cut there and scores as that round did; the signal was found; and fits
+    ended before the most rounds.
+    """
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000
+    base = orders_frame(spark, sf_dir).withColumn("y", (F.col("s1") + noise > 0.8).cast("int"))
+    data = tr.assemble(tr.with_training_folds(base, "y", 3, 42), ["s1", "s2", "s3"])
+    patience, most = 5, 160
+    spec = tr.boosted(learning_rate=0.3, rounds=most, depth=3, row_share=0.8, min_rows=20, patience=patience)
+    fitted = tr.cross_fit(data, {"patient": spec}, folds=3)
+    scored = {r["fold"]: r["auc"] for r in auc(fitted.out_of_fold(), by=["fold"]).collect()}
+    rows = []
+    for (_, _, fold), found in sorted(fitted.stopped.items()):
+        aucs, best = found.aucs, found.best_round
+        rows.append(
+            (
+                fold,
+                found.early,
+                best == 1 + aucs.index(max(aucs[: best + patience])),
+                aucs[-1] <= found.best_auc,
+                len(aucs) >= best + patience,
+                len(found.model.treeWeights) == best,
+                abs(scored[fold] - found.best_auc) < 1e-9,
+                found.best_auc > 0.7,
+                found.fitted_rounds < most,
+            )
+        )
+    names = "stopped_early first_best last_not_above waited cut_there scores_agree signal_found fewer_fitted"
+    return spark.createDataFrame(rows, "fold int, " + ", ".join(f"{n} boolean" for n in names.split()))
+
+
 @query("cross_fit_forest", _SHAPE.format(model="forest"))
 def cross_fit_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = tr.forest(trees=10, depth=6, min_rows=50)

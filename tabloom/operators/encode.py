@@ -35,8 +35,8 @@ def _unpivot(
     return long.withColumn("col", position).filter(F.col("val").isNotNull())
 
 
-def _settled(table: DataFrame, cols: Sequence[str], max_rows: int | None = None) -> Lookup:
-    return settle(table, ["col", "val"], max_rows=max_rows, part="col", parts=range(len(cols)))
+def _settled(table: DataFrame, max_rows: int | None = None) -> Lookup:
+    return settle(table, ["col", "val"], max_rows=max_rows, part="col")
 
 
 def _add_per_column(
@@ -79,7 +79,7 @@ class FrequencyEncoder:
         table = counts.join(F.broadcast(totals), "col").select(
             "col", "val", "n_rows", (F.col("n_rows") / F.col("n_all")).alias("share")
         )
-        return FrequencyModel(self.cols, self.suffix, _settled(table, self.cols))
+        return FrequencyModel(self.cols, self.suffix, _settled(table))
 
 
 @dataclass(frozen=True)
@@ -117,10 +117,10 @@ class LabelEncoder:
             .groupBy("col", "val")
             .agg(F.count(F.lit(1)).alias("n_rows"))
         )
-        found = _settled(seen, self.cols, max_rows)
+        found = _settled(seen, max_rows)
         short = range(len(self.cols)) if found.small else found.small_parts or ()
         coded = _with_codes(found.table, short, len(self.cols))
-        fitted = _settled(coded, self.cols, max_rows)
+        fitted = _settled(coded, max_rows)
         return LabelModel(self.cols, self.suffix, fitted)
 
 
@@ -219,7 +219,7 @@ class TargetEncoder:
         overall = train.agg(F.avg(F.col(self.target).cast("double")).alias("g")).first()["g"]
         counts = _by_category(_target_counts(train, self.cols, self.target, self.fold_col))
         table = counts.select("col", "val", "n_rows", *self._values(overall))
-        return TargetModel(self, _settled(table, self.cols), overall)
+        return TargetModel(self, _settled(table), overall)
 
     def _values(self, overall: float | None) -> tuple[Column, Column]:
         """``full`` and ``held_out`` (by fold) from n_rows, n_pos and per_fold."""
@@ -283,7 +283,7 @@ class WoeEncoder:
         counts = _target_counts(train, self.cols, self.target, self.fold_col)
         per_category = _by_category(counts)
         table = self._with_values(per_category, counts).select("col", "val", "n_rows", "full", "held_out")
-        return WoeModel(self, _settled(table, self.cols))
+        return WoeModel(self, _settled(table))
 
     def _with_values(self, per_category: DataFrame, counts: DataFrame) -> DataFrame:
         """The categories with ``full`` and ``held_out`` (by fold).
@@ -440,7 +440,7 @@ class CategoryEncoders:
             sizes = dict(table.groupBy("col").count().collect())
             table = _with_codes(table, [c for c, n in sizes.items() if n <= max_rows], len(sizes))
         table = table.select("col", "val", F.col("n_seen").alias("n_rows"), *values)
-        return CategoryModel(self, _settled(table, self.cols, max_rows), overall)
+        return CategoryModel(self, _settled(table, max_rows), overall)
 
     def _counts(self, df: DataFrame) -> DataFrame:
         """Per (col, val, fold, trained): rows, rows with a value, with a target, and positives."""

@@ -85,9 +85,7 @@ class GroupStats:
         key_sets = [list(k) for k in dict.fromkeys(b.keys for b in self.blocks)]
         table = group_stats_table(train, [*key_sets, []], values)
         key_cols = list(dict.fromkeys(k for keys in key_sets for k in keys))
-        fitted = settle(
-            table, [f"k_{k}" for k in key_cols], part="set_id", parts=range(len(key_sets) + 1)
-        )
+        fitted = settle(table, [f"k_{k}" for k in key_cols], part="set_id")
         overall = fitted.table.filter(F.col("set_id") == len(key_sets)).first()
         means = {v: overall[f"mean_{v}"] if overall else None for v in values}
         wanted = [block for block in self.blocks if "median" in block.stats]
@@ -108,7 +106,7 @@ def _medians(train: DataFrame, blocks: Sequence[StatBlock]) -> Lookup:
     key_sets = [[f"k_{k}" for k in block.keys] for block in blocks]
     keys = [f"key{i}" for i in range(max(len(k) for k in key_sets))]
     medians = exact_medians(base, key_sets, values)
-    return settle(medians, ["set_id", *keys], part="set_id", parts=range(len(key_sets)))
+    return settle(medians, ["set_id", *keys], part="set_id")
 
 
 @dataclass(frozen=True)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.session import materialise, materialise_measured
+from tabloom.session import materialise
 
 # Bounds of what may be broadcast.
 MAX_ROWS = 100_000
@@ -99,34 +99,35 @@ def settle(
     max_rows: int | None = None,
     max_bytes: int | None = None,
     part: str | None = None,
-    parts: Sequence[Any] = (),
 ) -> Lookup:
     """Compute a key table once and decide by its size how it will be joined.
 
-    The table is written out, and measured by the write, before any row of it
-    is collected. With ``part``, a column that has the values ``parts`` (one
-    per encoded column or key set), every part is decided on by itself, so a
-    long one leaves the short ones small.
+    The table is written out and measured before any row of it is collected.
+    With ``part``, a column of few values (one per encoded column or key set),
+    every part is decided on by itself, so a long one leaves the short ones
+    small.
     """
     max_rows = MAX_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BYTES if max_bytes is None else max_bytes
-    row_bytes = _row_bytes(table.schema)
-    measures = {}
-    for i, value in enumerate(parts if part else [None]):
-        inside = F.col(part) == F.lit(value) if part else F.lit(True)
-        measures[f"rows{i}"] = F.count_if(inside)
-        measures[f"bytes{i}"] = F.coalesce(F.sum(F.when(inside, row_bytes)), F.lit(0))
-    stored, found = materialise_measured(table, measures)
-    sizes = [(found[f"bytes{i}"], found[f"rows{i}"], i) for i in range(len(measures) // 2)]
+    stored = materialise(table)
+    by = [part] if part else []
+    sizes = (
+        stored.groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(_row_bytes(stored.schema)), F.lit(0)).alias("bytes"),
+        )
+        .collect()
+    )
     # Smallest first, as long as all of them together stay within a few bounds.
     small, rows, size = [], 0, 0
-    for own_bytes, own_rows, i in sorted(sizes):
-        rows, size = rows + own_rows, size + own_bytes
-        if own_rows > max_rows or own_bytes > max_bytes:
+    for found in sorted(sizes, key=lambda r: r["bytes"]):
+        rows, size = rows + found["rows"], size + found["bytes"]
+        if found["rows"] > max_rows or found["bytes"] > max_bytes:
             continue
         if rows > PARTS_TOGETHER * max_rows or size > PARTS_TOGETHER * max_bytes:
             break
-        small.append(parts[i] if part else None)
+        small.append(found[part] if part else None)
     if len(small) == len(sizes):
         head: pa.Table = stored.toArrow()
         local = table.sparkSession.createDataFrame(head, schema=table.schema)

@@ -51,21 +51,26 @@ def auc_from_counts(counted: DataFrame, by: Sequence[str], value: str) -> DataFr
 
 
 def auc(
-    scores: DataFrame, score: str = "score", label: str = "label", by: Sequence[str] = ()
+    scores: DataFrame,
+    score: str = "score",
+    label: str = "label",
+    by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact ROC AUC per group, ties counting one half.
 
     Rows without score or label are left out; a group without positives or
-    without negatives gets NULL.
+    without negatives gets NULL. ``weight`` says how many rows a row stands for.
     """
     by = [by] if isinstance(by, str) else list(by)
+    rows = F.col(weight) if weight else F.lit(1)
     narrow = scores.select(
-        *by, score_key(F.col(score)).alias("__score"), F.col(label).alias("__label")
+        *by, score_key(F.col(score)).alias("__score"), F.col(label).alias("__label"), rows.alias("__rows")
     ).filter(F.col("__score").isNotNull() & F.col("__label").isNotNull())
     edges = quantile_edges(narrow, ["__score"], range_count(scores.sparkSession))["__score"]
     counted = narrow.groupBy(*by, "__score").agg(
-        F.count_if(F.col("__label") == 1).alias("pos"),
-        F.count_if(F.col("__label") != 1).alias("neg"),
+        F.sum(F.when(F.col("__label") == 1, F.col("__rows")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("__label") != 1, F.col("__rows")).otherwise(0)).alias("neg"),
     )
     return auc_from_counts(with_range(counted, "__score", edges), by, "__score")
 

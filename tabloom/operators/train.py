@@ -11,7 +11,7 @@ import math
 import random
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import add
 from typing import Any
@@ -28,6 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.operators.boosting import Stopped, fit_until
 from tabloom.operators.folds import assign_folds
 from tabloom.operators.metrics import auc
 from tabloom.session import materialise
@@ -43,13 +44,19 @@ class ModelSpec:
 
     Families: 'boosted', 'forest', 'logistic'. ``early_stop`` turns on early
     stopping on the held-out fold for boosted trees: Spark stops when the
-    held-out loss no longer improves by ``tolerance``.
+    held-out loss no longer improves by ``tolerance``. With ``patience`` they
+    stop once the held-out AUC has not risen for so many rounds, and are cut at
+    the best one.
     """
 
     family: str
     params: Mapping[str, Any] = field(default_factory=dict)
     early_stop: bool = False
     tolerance: float = 0.001
+    patience: int | None = None
+
+    def with_rounds(self, rounds: int) -> ModelSpec:
+        return replace(self, params={**self.params, "maxIter": rounds})
 
     def estimator(self, seed: int, total_weight: float | None = None) -> Estimator:
         params = dict(self.params)
@@ -87,8 +94,12 @@ def boosted(
     min_rows: int = 1,
     bins: int = 32,
     early_stop: bool = False,
+    patience: int | None = None,
 ) -> ModelSpec:
-    """Gradient boosted trees; ``bins`` is the histogram resolution."""
+    """Gradient boosted trees; ``bins`` is the histogram resolution.
+
+    With ``patience``, ``rounds`` is the most that are fitted.
+    """
     params: dict[str, Any] = {
         "stepSize": learning_rate,
         "maxIter": rounds,
@@ -99,7 +110,7 @@ def boosted(
     }
     if column_share is not None:
         params["featureSubsetStrategy"] = str(column_share)
-    return ModelSpec("boosted", params, early_stop)
+    return ModelSpec("boosted", params, early_stop, patience=patience)
 
 
 def forest(trees: int = 500, depth: int = 20, min_rows: int = 50) -> ModelSpec:
@@ -156,10 +167,14 @@ def run_parallel(tasks: Sequence[Callable[[], Any]], workers: int = 4) -> list[A
 
 @dataclass(frozen=True)
 class CrossFit:
-    """Scores of a cross-fit, and the fitted models by (model, seed, fold)."""
+    """Scores of a cross-fit, and the fitted models by (model, seed, fold).
+
+    ``stopped`` has the held-out AUC per round of models with patience.
+    """
 
     scores: DataFrame
     models: dict[tuple[str, int, int], Model]
+    stopped: dict[tuple[str, int, int], Stopped] = field(default_factory=dict)
 
     def out_of_fold(self) -> DataFrame:
         return self.scores.filter(F.col("split") == "train")
@@ -207,6 +222,7 @@ def cross_fit(
         for r in train.groupBy("fold").agg(F.sum(WEIGHT).alias("w")).collect()
     }
     all_weights = sum(weights.values())
+    stopped: dict[tuple[str, int, int], Stopped] = {}
 
     def fit_one(name: str, spec: ModelSpec, fold: int):
         held_out = F.col("fold") == fold
@@ -214,8 +230,18 @@ def cross_fit(
             rows = train.withColumn(HELD_OUT, held_out)
         else:
             rows = train.filter(~held_out)
-        estimator = spec.estimator(seed, all_weights - weights.get(fold, 0.0))
-        return (name, seed, fold), estimator.fit(rows)
+        weight = all_weights - weights.get(fold, 0.0)
+        if spec.patience and spec.family == "boosted":
+            found = fit_until(
+                lambda rounds: spec.with_rounds(rounds).estimator(seed, weight).fit(rows),
+                train.filter(held_out),
+                LABEL,
+                spec.params["maxIter"],
+                spec.patience,
+            )
+            stopped[name, seed, fold] = found
+            return (name, seed, fold), found.model
+        return (name, seed, fold), spec.estimator(seed, weight).fit(rows)
 
     jobs = [
         (lambda n=name, s=spec, f=fold: fit_one(n, s, f))
@@ -232,7 +258,7 @@ def cross_fit(
             parts.append(_predict([model], held_out, fold=fold, **marks))
         parts.append(_predict(of_folds, test, fold=None, **marks))
     scores = reduce(DataFrame.unionByName, parts).select(*SCORE_COLUMNS)
-    return CrossFit(scores, fitted)
+    return CrossFit(scores, fitted, stopped)
 
 
 def multi_seed(fn: Callable[[int], DataFrame], seeds: Iterable[int]) -> DataFrame:
