@@ -6,6 +6,8 @@ none; they fit on all training rows of the table they are given.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from tabloom.operators.clean import fill_missing, row_weight, tag
 from tabloom.operators.encode import LabelEncoder
 from tabloom.operators.metrics import auc
 from tabloom.operators.scale import Standardise
-from tabloom.plans import prepare, run_plan
+from tabloom.plans import load_run, prepare, run_plan
+from tabloom.session import shared_folder
 
 NUMERIC = ["total", "balance", "li_qty", "li_n"]
 
@@ -256,3 +259,33 @@ def run_plan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     result = run_plan(ready, models, "fast", folds=3, seeds=1, method="grid")
     return rounded(result.test_scores)
+
+
+@query(
+    "kept_run",
+    """SELECT count(*) AS n_rows, 0::BIGINT AS n_differ, TRUE AS same_features, count(*) AS n_bare
+    FROM orders WHERE o_orderkey % 5 = 0""",
+)
+def kept_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run is saved, read again, and scores the test rows as the run did.
+
+    They come without split, fold and target, as later rows do.
+    """
+    frame = subscriber_frame(spark, sf_dir).drop("fold")
+    train = frame.filter("split = 'train'").drop("split")
+    test = frame.filter("split = 'test'").drop("split", "Churn")
+    ready = prepare(train, test, folds=2)
+    models = {"boosted": _small_boost(), "forest": tr.forest(trees=8, depth=5, min_rows=50)}
+    result = run_plan(ready, models, "ensemble_target", folds=2, seeds=2, method="grid")
+    path = f"{shared_folder(spark)}/tabloom/{uuid.uuid4().hex}"
+    result.kept.save(path)
+    later = load_run(spark, path)
+    bare = later.score(test).withColumnRenamed("score", "again")
+    both = result.test_scores.join(bare, "id", "full")
+    differ = F.abs(F.col("score") - F.col("again")) < 1e-12
+    return both.agg(
+        F.count("score").alias("n_rows"),
+        F.count_if(~F.coalesce(differ, F.lit(False))).alias("n_differ"),
+        F.lit(later.fitted.features == result.features).alias("same_features"),
+        F.count("again").alias("n_bare"),
+    )

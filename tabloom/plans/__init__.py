@@ -1,4 +1,5 @@
 from tabloom.plans.build import FeatureTable, build_features
+from tabloom.plans.kept import FittedPlan, KeptRun, load_run
 from tabloom.plans.plan import FeaturePlan
 from tabloom.plans.runs import RunResult, prepare, run_plan
 from tabloom.plans.subscription import PLANS, ROW_FEATURES
@@ -8,8 +9,11 @@ __all__ = [
     "ROW_FEATURES",
     "FeaturePlan",
     "FeatureTable",
+    "FittedPlan",
+    "KeptRun",
     "RunResult",
     "build_features",
+    "load_run",
     "prepare",
     "run_plan",
 ]

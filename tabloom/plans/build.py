@@ -8,31 +8,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.clean import coerce_numeric, columns_of, fill_missing
-from tabloom.operators.encode import (
-    CategoryEncoders,
-    FrequencyEncoder,
-    LabelEncoder,
-    TargetEncoder,
-    WoeEncoder,
-)
+from tabloom.operators.clean import coerce_numeric, columns_of
+from tabloom.operators.encode import CategoryEncoders
 from tabloom.operators.features import Feature, FeatureSet
 from tabloom.operators.groupstats import GroupStats
 from tabloom.operators.ranks import pct_ranks
 from tabloom.operators.scale import ClusterFeatures
+from tabloom.plans.kept import KEYS, FittedPlan, plan_encoders
 from tabloom.plans.plan import FeaturePlan
 from tabloom.plans.subscription import NUMBERS, ROW_FEATURES
 from tabloom.session import keep_code_compilable
 
-KEYS = ("id", "split", "fold", "source", "weight")
-
 
 @dataclass(frozen=True)
 class FeatureTable:
-    """The finished table and the names of its feature columns, in order."""
+    """The finished table, the names of its feature columns, in order, and what was fitted."""
 
     df: DataFrame
     features: list[str]
+    fitted: FittedPlan
 
 
 def build_features(
@@ -52,7 +46,8 @@ def build_features(
     keep_code_compilable(frame.sparkSession)
     keys = [c for c in (*KEYS, target) if c in frame.columns]
     raw = [c for c in frame.columns if c not in keys]
-    df = coerce_numeric(frame, [c for c in numbers if c in raw])
+    numbers = [c for c in numbers if c in raw]
+    df = coerce_numeric(frame, numbers)
     categories = columns_of(df, "string", exclude=keys)
     row_set = FeatureSet([library[name] for name in plan.row_features])
     df = row_set.apply(df)
@@ -61,6 +56,7 @@ def build_features(
     def training() -> DataFrame:
         return df.filter(F.col("split") == "train")
 
+    stats = clusters = encoders = None
     if plan.stats:
         stats = GroupStats(plan.stats).fit(training())
         df = stats.transform(df)
@@ -69,25 +65,18 @@ def build_features(
         df = pct_ranks(df, plan.ranks)
         features += [spec.name for spec in plan.ranks]
     if plan.clusters:
-        clusters = ClusterFeatures(
-            plan.clusters.cols, plan.clusters.ks, plan.clusters.restarts, seed
-        )
-        df = clusters.fit(training()).transform(df)
+        spec = plan.clusters
+        clusters = ClusterFeatures(spec.cols, spec.ks, spec.restarts, seed).fit(training())
+        df = clusters.transform(df)
         features += [n for k in plan.clusters.ks for n in (f"cluster_{k}", f"cluster_{k}_dist")]
-    fits = []
-    if plan.target_encoding:
-        fits.append(TargetEncoder(categories, target, "fold"))
-    if plan.frequency:
-        fits.append(FrequencyEncoder(categories))
-    if plan.woe:
-        fits.append(WoeEncoder(categories, target))
-    features += [f"{c}{encoder.suffix}" for encoder in fits for c in categories]
-    if plan.label_codes:
-        fits.append(LabelEncoder(categories))
-    if fits and categories:
+    specs = plan_encoders(plan, categories, target)
+    features += [f"{c}{e.suffix}" for e in specs for c in categories if e.suffix]
+    if specs:
         # All encoders read the raw categories, so they are fitted in one scan
         # of the narrow input, not of the table that carries the features.
-        df = CategoryEncoders(fits).fit(frame.select(*keys, *categories)).transform(df)
-    numeric = [c for c in features if plan.label_codes or c not in categories]
-    df = fill_missing(df, numeric)
-    return FeatureTable(df.select(*keys, *features), features)
+        encoders = CategoryEncoders(specs).fit(frame.select(*keys, *categories))
+        df = encoders.transform(df)
+    fitted = FittedPlan(
+        plan, target, raw, numbers, categories, features, stats, clusters, encoders, library
+    )
+    return FeatureTable(fitted.finished(df, keys), features, fitted)
