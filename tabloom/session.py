@@ -131,6 +131,17 @@ def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` made, once nothing reads them any more.
+
+    Whatever was computed from them must have been written by then.
+    """
+    for table in tables:
+        for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The configured number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
