@@ -50,7 +50,8 @@ class Index:
         self.ids, self.matrix = ids, matrix
         n, dims = matrix.shape
         largest = int(np.abs(matrix).max(initial=0))
-        self.exact = matrix.astype(np.float64) if largest**2 * dims < 2**50 else matrix
+        self.largest = largest
+        self.floats = matrix.astype(np.float64)
         step = max(1, -(-largest // LEVELS))
         # Signed level: truncation towards zero, so a level has one sign, and
         # level 0 holds small components of either sign.
@@ -77,9 +78,16 @@ class Index:
         is left, dimension by dimension. The k-th best proven lower bound (or
         ``floor``, proven before) rules out rows whose upper bound is below it.
         Processing ends when few rows are left, or at the end of the segments;
-        the rows left are scored exactly.
+        the rows left are scored exactly. Components so large that bounds would
+        be rounded are scored exactly at once, in whole numbers.
         """
         n, dims = self.matrix.shape
+        # Floating point is exact for whole numbers below 2^53. What is added up
+        # below is at most twice the largest score, with the dimensions' count.
+        bits = int(dims).bit_length()
+        peak = self.largest * int(np.abs(query).max(initial=0)) * dims
+        if 4 * peak << bits >= 2**53:
+            return self.closest(self.matrix, np.arange(n), query, own, k)
         weight = query[self.dim]
         a, b = weight * self.low, weight * self.high
         most, least = np.maximum(a, b), np.minimum(a, b)
@@ -91,7 +99,6 @@ class Index:
         slack = width.sum()
         order = np.argsort(-impact, kind="stable")
         # Impact and number of the segments met are added up as one number.
-        bits = int(dims).bit_length()
         both, carried = np.zeros(n), (impact * (1 << bits) + 1).astype(np.float64)
         sizes = np.diff(self.start)[order]
         ends = np.cumsum(sizes)
@@ -114,9 +121,15 @@ class Index:
             alive = np.flatnonzero(upper + (dims - met) * left >= bound)
             if len(alive) <= RESCORE_SHARE * n or end >= len(order):
                 break
+        return self.closest(self.floats, alive, query, own, k)
+
+    def closest(
+        self, matrix: np.ndarray, alive: np.ndarray, query: np.ndarray, own: int, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some rows by their exact scores."""
         alive = alive[self.ids[alive] != own]
         # Sums of whole numbers below 2**53 are exact in floating point.
-        scores = (self.exact[alive] @ query.astype(self.exact.dtype)).astype(np.int64)
+        scores = (matrix[alive] @ query.astype(matrix.dtype)).astype(np.int64)
         if len(alive) > k:
             kth = np.partition(scores, len(scores) - k)[len(scores) - k]
             alive, scores = alive[scores >= kth], scores[scores >= kth]

@@ -429,6 +429,19 @@ def test_index_search_equals_brute_force(monkeypatch):
             assert list(found) == list(ids[best]) and list(values) == list(scores[best])
 
 
+def test_search_of_large_components_is_exact():
+    """Whole numbers whose scores fit 64 bits, but not the digits of a double."""
+    rng = np.random.default_rng(8)
+    for size in (10**4, 10**5, 26 * 10**6, 2 * 10**8):
+        matrix = rng.integers(-size, size, (200, 24))
+        index = topk.Index(np.arange(200), matrix)
+        for own in range(0, 200, 9):
+            scores = matrix @ matrix[own]
+            best = [j for j in np.lexsort((np.arange(200), -scores)) if j != own][:5]
+            found, values = index.best(matrix[own], own, 5, None)
+            assert list(found) == best and list(values) == list(scores[best])
+
+
 def test_search_in_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 37)
     monkeypatch.setattr(topk, "QUERY_ROWS", 2)
