@@ -261,6 +261,52 @@ def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.transform(base).select("id", *columns))
 
 
+@query(
+    "cluster_nearest",
+    """SELECT k::INTEGER AS k, count(*) AS n_rows, 0::BIGINT AS n_wrong, k::BIGINT AS n_centres,
+      TRUE AS centres_are_means FROM orders, (VALUES (5), (10)) AS t(k) GROUP BY k""",
+)
+def cluster_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row has its nearest centre and the distance to it, and every
+    centre is about the mean of the training rows that are nearest to it."""
+    cols = ["total", "balance", "li_qty", "li_n"]
+    base = orders_frame(spark, sf_dir, lines=True)
+    model = ClusterFeatures(cols, ks=(5, 10), restarts=2).fit(_train(base))
+    placed = model.scaler.transform(model.transform(base)).select(
+        "id", "split", F.array(*[f"{c}__z" for c in cols]).alias("x"), *[f"cluster_{k}" for k in (5, 10)],
+        *[f"cluster_{k}_dist" for k in (5, 10)],
+    )
+    parts = []
+    for k, centres in model.centres.items():
+        listed = [(j, c.tolist()) for j, c in enumerate(centres)]
+        table = F.broadcast(spark.createDataFrame(listed, "j int, c array<double>"))
+        square = F.aggregate(
+            F.zip_with("x", "c", lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda total, x: total + x
+        )
+        # As many rows per order as there are centres, which is a parameter.
+        far = placed.withColumn("js", F.sequence(F.lit(0), F.lit(k - 1))).withColumn("j", F.explode("js"))
+        least = far.join(table, "j").groupBy("id").agg(F.min(F.struct(F.sqrt(square).alias("d"), "j")).alias("near"))
+        wrong = (F.col("near.j") != F.col(f"cluster_{k}")) | (F.abs(F.col("near.d") - F.col(f"cluster_{k}_dist")) > 1e-9)
+        means = (
+            placed.filter("split = 'train'")
+            .select(F.col(f"cluster_{k}").alias("j"), F.posexplode("x").alias("i", "v"))
+            .groupBy("j", "i").agg(F.avg("v").alias("m"))
+            .join(table, "j")
+            .agg(F.max(F.abs(F.col("m") - F.get("c", F.col("i")))).alias("off"), F.countDistinct("j").alias("n"))
+            .first()
+        )
+        parts.append(
+            placed.join(least, "id").agg(
+                F.lit(k).alias("k"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count_if(wrong).alias("n_wrong"),
+                F.lit(means["n"]).cast("long").alias("n_centres"),
+                F.lit(means["off"] < 0.05).alias("centres_are_means"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "encoder_leakage",
     "SELECT count(*) AS n_rows, 0::BIGINT AS n_changed, TRUE AS codes_see_all FROM orders WHERE o_orderkey % 5 <> 0",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabloom.catalog.base import orders_frame, query, rounded, subscriber_frame, table
 from tabloom.catalog.sets import planned
 from tabloom.operators import train as tr
-from tabloom.operators.blend import pivot_scores
+from tabloom.operators.blend import pivot_scores, seed_mean_blend
 from tabloom.operators.clean import fill_missing, row_weight, tag
 from tabloom.operators.encode import LabelEncoder
 from tabloom.operators.metrics import auc
@@ -289,3 +289,69 @@ def kept_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(later.fitted.features == result.features).alias("same_features"),
         F.count("again").alias("n_bare"),
     )
+
+
+_HELD = (
+    "boosted_finds_signal forest_finds_signal logistic_finds_signal planted_feature_first weight_one_is_none "
+    "weight_changes_scores seeds_differ seed_repeats best_trial_not_below_median mean_of_seeds_not_below_worst"
+).split()
+
+
+@query(
+    "planted_signal",
+    f"SELECT unnest([{', '.join(repr(n) for n in _HELD)}]) AS name, TRUE AS holds, count(*) AS n_rows "
+    "FROM orders WHERE o_orderkey % 5 <> 0",
+)
+def planted_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of models fitted on a label that depends on one column.
+
+    The label of an order is its price against a hash of its key; another
+    column repeats nothing of it. Held-out AUCs, importances, weights, seeds and
+    a search are held against that.
+    """
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000
+    base = orders_frame(spark, sf_dir).withColumn("y", (F.col("s1") + noise > 0.9).cast("int"))
+    base = base.withColumn("w", F.when(F.col("segment") == "BUILDING", 10.0).otherwise(1.0)).withColumn("one", F.lit(1.0))
+    names = ["s3", "s1", "s2"]
+
+    def data(seed: int, weight: str | None = None) -> DataFrame:
+        return tr.assemble(tr.with_training_folds(base, "y", 3, seed), names, weight=weight)
+
+    def mean_auc(scores: DataFrame) -> float:
+        return auc(scores.filter("split = 'train'")).first()["auc"]
+
+    plain = data(42)
+    trees = tr.boosted(learning_rate=0.3, rounds=8, depth=3, min_rows=20, row_share=0.8)
+    models = {"boosted": trees, "forest": tr.forest(20, 5, 20), "logistic": tr.logistic(max_iter=50)}
+    fitted = tr.cross_fit(plain, models, folds=3)
+    reached = {r["model"]: r["auc"] for r in auc(fitted.out_of_fold(), by=["model"]).collect()}
+    first = tr.importance_topk(fitted.models["boosted", 42, 0], names, 1, spark).first()["feature"]
+
+    def scores_of(rows: DataFrame, model: str = "logistic", seed: int = 42) -> DataFrame:
+        return tr.cross_fit(rows, {model: models[model]}, folds=3, seed=seed).scores
+
+    def apart(one: DataFrame, two: DataFrame) -> float:
+        both = one.select("id", "score").join(two.select("id", F.col("score").alias("other")), "id")
+        return both.agg(F.max(F.abs(F.col("score") - F.col("other")))).first()[0]
+
+    unweighted = scores_of(plain)
+    by_seed = [scores_of(plain, "boosted"), scores_of(data(1042), "boosted", 1042)]
+    blended = seed_mean_blend(by_seed[0].unionByName(by_seed[1]), by=["id", "split", "label"])
+    space = {"depth": tr.Range(1, 4), "learning_rate": tr.Range(0.01, 0.5, log=True)}
+    trials = tr.search_params(plain, lambda **p: tr.boosted(rounds=4, min_rows=20, **p), space, trials=3, folds=2)
+    aucs = sorted(t["mean_auc"] for t in trials)
+    held = [
+        reached["boosted"] > 0.7,
+        reached["forest"] > 0.7,
+        reached["logistic"] > 0.7,
+        first == "s1",
+        apart(unweighted, scores_of(data(42, "one"))) < 1e-9,
+        apart(unweighted, scores_of(data(42, "w"))) > 1e-6,
+        apart(*by_seed) > 1e-6,
+        apart(by_seed[0], scores_of(plain, "boosted")) < 1e-9,
+        trials[0]["mean_auc"] >= aucs[len(aucs) // 2],
+        mean_auc(blended) >= min(mean_auc(s) for s in by_seed),
+    ]
+    n_rows = base.filter("split = 'train'").count()
+    rows = [(name, bool(holds), n_rows) for name, holds in zip(_HELD, held)]
+    return spark.createDataFrame(rows, "name string, holds boolean, n_rows long")

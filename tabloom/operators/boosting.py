@@ -76,15 +76,14 @@ def best_round(
     held_out: DataFrame,
     label: str,
     patience: int,
-    known: list[float] | None = None,
 ) -> tuple[list[float], int, bool]:
     """AUC per round, the best round (from 1), and whether patience ran out.
 
     The first round whose AUC no later one of ``patience`` rounds exceeds. Rows
     meet all trees in one pass, which is stored; rounds are then compared in
-    groups until patience has run out. ``known`` are AUCs of the first rounds.
+    groups until patience has run out.
     """
-    aucs = list(known or [])
+    aucs: list[float] = []
     total = len(model.treeWeights)
     quiet = model.copy().setLeafCol("__leaf")
     seen = quiet.transform(held_out).select(
@@ -143,14 +142,13 @@ def fit_until(
     """Fit until the held-out AUC has not risen for ``patience`` rounds.
 
     ``fit`` makes a model of so many rounds. Boosting cannot go on from a model,
-    so fits double until patience has run out within one: as a seed fixes its
-    first rounds, their AUCs stay known, and the work stays within about twice
-    that of the last fit. The model is cut at its best round.
+    so fits double until patience has run out within one; the work stays within
+    about twice that of the last fit. The model is cut at its best round.
     """
-    rounds, aucs = min(most_rounds, max(1, FIRST_FIT * patience)), []
+    rounds = min(most_rounds, max(1, FIRST_FIT * patience))
     while True:
         model = fit(rounds)
-        aucs, best, over = best_round(model, held_out, label, patience, aucs)
+        aucs, best, over = best_round(model, held_out, label, patience)
         if over or rounds >= most_rounds:
             return Stopped(cut(model, best), aucs, best, rounds)
         rounds = min(most_rounds, 2 * rounds)

@@ -67,7 +67,7 @@ def test_patience():
 
 
 def test_fits_double_until_patience_is_over(data, monkeypatch):
-    asked, known = [], []
+    asked = []
     monkeypatch.setattr(boosting, "FIRST_FIT", 1)
 
     def fit(rounds):
@@ -76,7 +76,7 @@ def test_fits_double_until_patience_is_over(data, monkeypatch):
 
     found = boosting.fit_until(fit, data[1], tr.LABEL, 40, 4)
     assert asked[0] == 4 and all(b == min(40, 2 * a) for a, b in zip(asked, asked[1:]))
-    whole, best, _ = boosting.best_round(fit(asked[-1]), data[1], tr.LABEL, 4, known)
+    whole, best, _ = boosting.best_round(fit(asked[-1]), data[1], tr.LABEL, 4)
     assert found.best_round == best and found.aucs[: len(whole)] == pytest.approx(whole)
     assert len(found.model.treeWeights) == best and found.best_auc == max(found.aucs[:best])
     assert found.early or found.fitted_rounds == 40
