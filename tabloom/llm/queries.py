@@ -191,14 +191,13 @@ m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept
 FROM m LEFT JOIN n USING (doc_id)""",
     "op4_topk_search": """
-WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
     FROM embeddings WHERE embedding IS NOT NULL
       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-c AS (SELECT vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-    FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
-k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-    FROM s)
+c AS (SELECT r, vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v),
+s AS (SELECT q.r AS q, c.r, q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM c q JOIN c ON q.i = c.i AND q.r <> c.r WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5""",
     "op13_prefix_trie": """
 WITH o AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}

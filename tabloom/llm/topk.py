@@ -116,7 +116,7 @@ class Index:
             left = float(impact[order[end]]) if end < len(order) else 0.0
             bound = -np.inf if floor is None else floor
             if n > k:
-                # One row may be the query itself, which takes no part.
+                # One row at most is the query itself, which takes no part.
                 bound = max(bound, np.partition(upper, n - k - 1)[n - k - 1] - slack)
             alive = np.flatnonzero(upper + (dims - met) * left >= bound)
             if len(alive) <= RESCORE_SHARE * n or end >= len(order):
@@ -126,8 +126,11 @@ class Index:
     def closest(
         self, matrix: np.ndarray, alive: np.ndarray, query: np.ndarray, own: int, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
-        """The k best of some rows by their exact scores."""
-        alive = alive[self.ids[alive] != own]
+        """The k best of some rows by their exact scores, without one row that is the query's own."""
+        same = alive[self.ids[alive] == own]
+        same = same[(self.matrix[same] == query).all(axis=1)]
+        if len(same):
+            alive = alive[alive != same[0]]
         # Sums of whole numbers below 2**53 are exact in floating point.
         scores = (matrix[alive] @ query.astype(matrix.dtype)).astype(np.int64)
         if len(alive) > k:
@@ -148,9 +151,9 @@ def search_blocks(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, index = None, None
         # The k-th best exact score of a query so far is a proven lower bound.
-        floors: dict[int, int] = {}
+        floors: dict[tuple[int, int], int] = {}
         for batch in batches:
-            for block, ids, values, query_ids, query_values in zip(*batch.columns):
+            for block, ids, values, asked, query_ids, query_values, copies in zip(*batch.columns):
                 if known != block.as_py():
                     index = Index(*unpack(ids.as_py(), values.as_py()))
                     known = block.as_py()
@@ -158,27 +161,34 @@ def search_blocks(k: int):
                 own, queries = unpack(query_ids.as_py(), query_values.as_py())
                 if not len(own):
                     continue
-                for i, query in zip(own, queries):
-                    best, scores = index.best(query, int(i), k, floors.get(int(i)))
+                times = np.frombuffer(copies.as_py(), "<i8")
+                for place, (i, query) in enumerate(zip(own, queries)):
+                    row = asked.as_py(), place
+                    best, scores = index.best(query, int(i), k, floors.get(row))
                     if len(scores) == k:
-                        floors[int(i)] = max(int(scores[-1]), floors.get(int(i), int(scores[-1])))
-                    found.append((np.full(len(best), i), best, scores))
+                        floors[row] = max(int(scores[-1]), floors.get(row, int(scores[-1])))
+                    same = (np.full(len(best), x, np.int64) for x in (i, *row, times[place]))
+                    found.append((*same, best, scores))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in zip(*found)],
-                    names=["query_id", "vec_id", "score"],
+                    names=["query_id", "asked", "place", "copies", "vec_id", "score"],
                 )
 
     return run
 
 
-def blocks_of(rows: DataFrame, size: int, dims: int, total: int) -> DataFrame:
-    """Rows as records of about ``size``: block, ids, values, as packed numbers."""
+def blocks_of(rows: DataFrame, size: int, dims: int, total: int, most: int) -> DataFrame:
+    """Rows as records of about ``size``: block, ids, values and copies, as packed numbers.
+
+    A row that is there several times is in a block up to ``most`` times.
+    """
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: dict[int, list] = {}
         for batch in batches:
-            for block, vec_id, v in zip(*(c.to_pylist() for c in batch.columns)):
-                rest.setdefault(block, []).append((vec_id, v + [0] * (dims - len(v))))
+            for block, vec_id, v, copies in zip(*(c.to_pylist() for c in batch.columns)):
+                filled = (vec_id, v + [0] * (dims - len(v)), copies)
+                rest.setdefault(block, []).extend([filled] * min(copies, most))
         for block, found in sorted(rest.items()):
             found.sort()
             yield pa.RecordBatch.from_pydict(
@@ -186,12 +196,14 @@ def blocks_of(rows: DataFrame, size: int, dims: int, total: int) -> DataFrame:
                     "block": pa.array([block], pa.int32()),
                     "ids": [np.array([x[0] for x in found], "<i8").tobytes()],
                     "vals": [np.array([x[1] for x in found], "<i8").tobytes()],
+                    "copies": [np.array([x[2] for x in found], "<i8").tobytes()],
                 }
             )
 
     n = max(1, -(-total // size))
-    keyed = rows.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int").alias("block"), "vec_id", "v")
-    return keyed.repartition(n, "block").mapInArrow(packed, "block int, ids binary, vals binary")
+    block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int").alias("block")
+    keyed = rows.select(block, "vec_id", "v", "copies")
+    return keyed.repartition(n, "block").mapInArrow(packed, "block int, ids binary, vals binary, copies binary")
 
 
 def top_k(
@@ -207,7 +219,10 @@ def top_k(
     Components x become floor(scale * x). Queries are the rows that meet
     ``is_query``, a condition on ``vec_id``; candidates are all rows but the
     query's own. The k best inner products are returned, all if there are
-    fewer; ties go to the smaller vec_id.
+    fewer; ties go to the smaller vec_id. Rows count by themselves, also where
+    they repeat an id: each is a candidate, for another row of its id too, and
+    each that is a query gives its own ranks. Equal rows are searched once, as
+    k + 1 of them are all that k ranks can hold.
 
     Rows are indexed in blocks and the queries sent past each block in blocks,
     so no task holds more than one of each; each pair yields at most k rows a
@@ -215,31 +230,32 @@ def top_k(
 
     Vectors that are NULL or hold a NULL or non-finite component take no part,
     nor do rows without an id. Of unequal lengths, the shorter counts as filled
-    with zeros. An id that is repeated counts once, with the vector that is
-    greatest in array order. An empty table gives an empty one; further columns
-    are left out.
+    with zeros. An empty table gives an empty one; further columns are left out.
     """
     rows = materialise(
-        whole_numbers(vectors, id_col, vector_col, scale).groupBy("vec_id").agg(F.max("v").alias("v"))
+        whole_numbers(vectors, id_col, vector_col, scale)
+        .groupBy("vec_id", "v")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
     queries = rows.filter(is_query)
     total, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     n_queries = queries.count()
     dims = max(dims, 1)
-    blocks = blocks_of(rows, BLOCK_ROWS, dims, total)
-    asked = materialise(blocks_of(queries, QUERY_ROWS, dims, n_queries)).select(
-        F.col("block").alias("asked"), F.col("ids").alias("query_ids"), F.col("vals").alias("query_vals")
+    blocks = blocks_of(rows, BLOCK_ROWS, dims, total, k + 1).drop("copies")
+    asked = materialise(blocks_of(queries, QUERY_ROWS, dims, n_queries, 1)).toDF(
+        "asked", "query_ids", "query_vals", "copies"
     )
     n_asked = max(1, -(-n_queries // QUERY_ROWS))
     pairs = blocks.withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1)))).join(
         asked, "asked"
     )
-    found = pairs.select("block", "ids", "vals", "query_ids", "query_vals").mapInArrow(
-        search_blocks(k), "query_id long, vec_id long, score long"
+    found = pairs.select("block", "ids", "vals", "asked", "query_ids", "query_vals", "copies").mapInArrow(
+        search_blocks(k), "query_id long, asked long, place long, copies long, vec_id long, score long"
     )
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("asked", "place").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
         .select("query_id", "rank", "vec_id", "score")
     )
