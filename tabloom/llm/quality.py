@@ -17,6 +17,8 @@ LETTERS, DIGITS, REST = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile
 #: Hashed token shapes, then some rates, then a constant.
 N_RATES = 10
 WIDTH = (1 << BITS) + N_RATES + 1
+#: The longest token whose counts fit their 15 bits.
+PACKED = (1 << 15) - 1
 
 
 def shape(token: str) -> str:
@@ -24,19 +26,24 @@ def shape(token: str) -> str:
     return DIGITS.sub("0", LETTERS.sub("a", token))[:8]
 
 
+def signs_of(token: str) -> tuple[int, int, int]:
+    """How many letters, digits and signs a token has."""
+    letters, digits = (sum(map(len, kind.findall(token))) for kind in (LETTERS, DIGITS))
+    return letters, digits, len(REST.findall(token))
+
+
 class Shapes(dict):
     """For a token, its shape's bucket and its numbers of letters, digits and signs.
 
     They are packed into one number, 16 bits each; short tokens are remembered.
+    Numbers of a token longer than ``PACKED`` do not fit and are left at 0.
     """
 
     def __missing__(self, token: str) -> int:
         found = zlib.crc32(shape(token).encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1)
-        letters = sum(map(len, LETTERS.findall(token)))
-        digits = sum(map(len, DIGITS.findall(token)))
-        signs = len(REST.findall(token))
-        for i, n in enumerate((letters, digits, signs), 1):
-            found |= min(n, (1 << 15) - 1) << 16 * i
+        if len(token) <= PACKED:
+            for i, n in enumerate(signs_of(token), 1):
+                found |= n << 16 * i
         if len(token) <= 32:
             if len(self) > 100_000:
                 self.clear()
@@ -58,6 +65,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     lines = [x for x in text.split("\n") if x.strip()]
     chars = max(len(text), 1)
     lengths = list(map(len, tokens))
+    if max(lengths, default=0) > PACKED:
+        more = [signs_of(t) for t in tokens if len(t) > PACKED]
+        letters, digits, signs = (a + sum(b) for a, b in zip((letters, digits, signs), zip(*more)))
     rates = [
         np.log1p(n) / 10,
         min(sum(lengths) / max(n, 1), 30) / 30,
@@ -74,9 +84,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return positions, np.concatenate([np.sqrt(counts / max(n, 1)), rates, [1.0]])
 
 
-def packed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, position and value of all features of the texts."""
-    found = [features(t) for t in texts]
+def packed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, position and value of all features of some texts."""
     own = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
     empty = np.zeros(0)
     return (
@@ -130,15 +139,29 @@ def estimate_prior(scores: np.ndarray, positive: np.ndarray) -> float:
     return float(np.clip(ratios.min(), 0.05, 0.98))
 
 
-def fit_quality(texts: list[str | None], positive: np.ndarray, prior: float | None = None) -> np.ndarray:
-    """Weights from texts of which some are trusted positives and the rest unlabelled."""
-    own, at, values = packed(texts)
+def fit_quality(
+    found: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray, prior: float | None = None
+) -> np.ndarray:
+    """Weights from the features of texts of which some are trusted positives and the rest unlabelled."""
+    own, at, values = packed(found)
     if prior is None:
         first = minimise(own, at, values, positive, 0.5, rounds=150)
-        prior = estimate_prior(np.bincount(own, values * first[at], minlength=len(texts)), positive)
+        prior = estimate_prior(np.bincount(own, values * first[at], minlength=len(found)), positive)
     return minimise(own, at, values, positive, prior)
 
 
+def listed_features(texts: pa.Array) -> pa.Array:
+    """For an Arrow UDF: the features of each text, at most ``WIDTH`` however long it is."""
+    found = [features(t.as_py()) for t in texts]
+    return pa.StructArray.from_arrays(
+        [
+            pa.array([x[0] for x in found], pa.list_(pa.int32())),
+            pa.array([x[1] for x in found], pa.list_(pa.float64())),
+        ],
+        ["at", "values"],
+    )
+
+
 def fit_scorer(
     docs: DataFrame,
     labels: DataFrame,
@@ -153,20 +176,31 @@ def fit_scorer(
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     known = (
         pick(labels, doc_id=id_col, label=label_col)
-        .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+        .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & learn_from)
         .groupBy("doc_id")
         .agg(F.min(F.col("label").cast("int")).alias("label"))
     )
-    trusted = bounded_sample(known.filter(learn_from & (F.col("label") == 1)), "doc_id", sample_rows)
-    free = rows.select("doc_id").distinct().join(known, "doc_id", "left_anti")
+    trusted = bounded_sample(known.filter("label = 1"), "doc_id", sample_rows)
+    free = rows.filter(learn_from).select("doc_id").distinct().join(known, "doc_id", "left_anti")
     ids = bounded_sample(free, "doc_id", sample_rows).withColumn("label", F.lit(0))
     ids = trusted.select("doc_id", "label").unionByName(ids)
-    training = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").toArrow()
-    training = training.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    features_of = F.arrow_udf(listed_features, "struct<at:array<int>,values:array<double>>")
+    # One text of each id, and its features instead of it: the bound holds for
+    # ids with many rows, and for texts of any length.
+    training = (
+        rows.join(F.broadcast(ids), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
+        .select("doc_id", "label", features_of("text").alias("found"))
+        .select("doc_id", "label", "found.*")
+        .toArrow()
+        .sort_by("doc_id")
+    )
     positive = training["label"].to_numpy().astype(bool)
     weights = np.zeros(WIDTH)
     if positive.any():
-        weights = fit_quality(training["text"].to_pylist(), positive, class_prior)
+        found = [(at.values.to_numpy(), v.values.to_numpy()) for at, v in zip(training["at"], training["values"])]
+        weights = fit_quality(found, positive, class_prior)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     @F.arrow_udf("double")
@@ -192,9 +226,10 @@ def score_quality(
     """Per row: doc_id, score (0 to 1) and predicted (score >= threshold).
 
     Positives are the rows labelled 1 (in ``label_col``) whose ``doc_id`` meets
-    ``learn_from``; unlabelled are the rows without a label. About
-    ``sample_rows`` of each are used, all if there are fewer. Labels of 0 are
-    not used. ``class_prior``, the share of positives among the unlabelled, is
+    ``learn_from``; unlabelled are those without a label that meet it too, so
+    other rows have no part in the fit. About ``sample_rows`` ids of each are
+    used, all if there are fewer, each with the least of its texts. Labels of 0
+    are not used. ``class_prior``, the share of positives among the unlabelled, is
     estimated if None. Features are shapes of tokens and rates of a whole text;
     every whole text is scored.
 
@@ -212,6 +247,11 @@ def score_quality(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learn_from: Column, threshold: float = 0.3, **options) -> DataFrame:
-    """The rows of ``docs`` that ``score_quality`` predicts 1, with all columns."""
+    """The rows of ``docs`` that ``score_quality`` predicts 1, with all columns.
+
+    Each row is judged by its own text, so rows of one id may part; NULL and
+    empty texts are judged like each other. Without a positive every row stays,
+    as 0.5 reaches the default threshold. An empty table gives an empty one.
+    """
     judge = fit_scorer(docs, labels, learn_from, **options)
     return docs.filter(judge(F.col(options.get("text_col", "text")).cast("string")) >= threshold)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import bounded_sample, pick
+from tabloom.llm.common import bounded_sample, pick, sampled_texts
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
@@ -146,6 +146,7 @@ def score_toxicity(
     threshold: float = 0.7,
     sentence_threshold: float = 0.5,
     sample_rows: int = 8_000,
+    sample_chars: int = 100_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -154,8 +155,9 @@ def score_toxicity(
     ``offending`` lists start, end and probability of the sentences of at least
     ``sentence_threshold``. ``learn_from`` is a condition on ``doc_id`` that
     marks the rows whose label may be used. The model is fitted in one task's
-    worth of memory on about ``sample_rows`` whole labelled texts, all if there
-    are fewer; scoring covers every whole text.
+    worth of memory on the whole texts of about ``sample_rows`` labelled ids,
+    all if there are fewer, at most ``sample_chars`` characters together; of
+    several texts of an id the least counts. Scoring covers every whole text.
 
     NULL, empty and wordless texts score 0. Labels that are NULL or belong to a
     NULL id are not used; of several labels of an id the highest counts. A NULL
@@ -170,8 +172,7 @@ def score_toxicity(
         .agg(F.max(F.col("label").cast("int")).alias("label"))
     )
     sample = bounded_sample(known, "doc_id", sample_rows)
-    training = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label").toArrow()
-    training = training.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    training = sampled_texts(rows, sample, sample_chars).toArrow().sort_by("doc_id")
     model = fit_sentence_model(training["text"].to_pylist(), training["label"].to_numpy())
     sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
     spans = pa.list_(
