@@ -1,9 +1,11 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables, odd columns."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tabloom.llm import (
+    common,
     decontamination,
     language_id,
     near_dedup,
@@ -171,9 +173,77 @@ def test_vector_edges(spark):
         (0, 2, 2, 16384),
         (0, 3, 7, 0),
         (0, 4, 50, -24576),
-        (50, 1, 7, 0),
-        (50, 2, 0, -24576),
-        (50, 3, 1, -24576),
-        (50, 4, 2, -32768),
+        (0, 5, 50, -24576),
+    ] + [
+        # Two equal rows of one id are queries and candidates, each for the other.
+        row
+        for row in [(50, 1, 50, 69632), (50, 2, 7, 0), (50, 3, 0, -24576), (50, 4, 1, -24576), (50, 5, 2, -32768)]
+        for _ in range(2)
     ]
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_rows_that_repeat_an_id_are_searched_by_themselves(spark):
+    rng = np.random.default_rng(12)
+    distinct = [(int(i), rng.integers(-3, 4, 4).astype(float).tolist()) for i in rng.integers(0, 6, 40)]
+    rows = [(50 * i, v) for i, v in distinct for _ in range(int(rng.integers(1, 10)))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=3, scale=1).collect()
+    expected = []
+    for n, (own, query) in enumerate(rows):
+        if own % 100 == 0:
+            others = [(-int(np.dot(query, v)), i) for m, (i, v) in enumerate(rows) if m != n]
+            expected += [(own, rank, i, -s) for rank, (s, i) in enumerate(sorted(others)[:3], 1)]
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+
+
+def test_counts_of_a_very_long_token_are_whole():
+    for n in (100, 40_000, 200_000):
+        at, values = quality.features("a" * n + "7" * n + "-" * n)
+        rates = dict(zip(at.tolist(), values.tolist()))
+        first = 1 << quality.BITS
+        assert [round(rates[first + i], 4) for i in (5, 6, 7)] == [0.3333] * 3
+
+
+def test_held_out_rows_have_no_part_in_the_quality_fit(spark):
+    docs = [(i, f"plain words number {i} in a row" if i % 3 else f"$$ {i} 00 ##") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    kept_out = F.col("doc_id") % 5 != 0
+
+    def scores(rows, marks):
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        found = quality.score_quality(table, marks, kept_out).filter("doc_id % 5 > 0").collect()
+        return sorted((r.doc_id, r.score) for r in found)
+
+    plain = scores(docs, labels)
+    other = [(i, t if i % 5 else "quite another text") for i, t in docs]
+    assert plain == scores(other, labels)
+    assert plain == scores(docs, labels.filter(kept_out))
+
+
+def test_samples_are_bounded_in_rows_and_characters(spark):
+    rows = spark.range(200).select((F.col("id") % 2).alias("doc_id"), F.format_string("text %d", "id").alias("text"))
+    rows = rows.union(spark.createDataFrame([(2, "x" * 5000), (3, None)], "doc_id long, text string"))
+    ids = spark.createDataFrame([(i, 1) for i in range(4)], "doc_id long, label int")
+    found = common.sampled_texts(rows, ids, 1000).orderBy("doc_id").collect()
+    assert [tuple(r) for r in found] == [(0, 1, "text 0"), (1, 1, "text 1"), (3, 1, None)]
+    few = common.sampled_texts(rows, ids, 6).collect()
+    assert few and sum(len(r.text or "") for r in few) <= 6
+
+
+def test_passages_of_ids_with_several_texts(spark):
+    """Words are cut from the text that repeats them, not from another text of its id."""
+    p, q, other = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("p", 60), ("q", 70), ("o", 80)))
+    rows = [(1, p), (2, p + " tail"), (2, other), (2, p + " tail"), (3, q), (3, "head " + q), (None, p), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substring_dedup.repeated_passages(docs)
+    places = found.select("doc_id", "start", "end", "source_id", "source_start", "source_end").collect()
+    places = sorted(tuple(r) for r in places)
+    assert places[0] == (2, 0, 60, 1, 0, 60)
+    assert places[1:] in ([(3, 0, 70, 3, 1, 71)], [(3, 1, 71, 3, 0, 70)])
+    assert found.filter("digest = source_digest").isEmpty()
+    left = sorted((r.doc_id or 0, (r.text or "").strip()) for r in substring_dedup.without_passages(docs, found).collect())
+    assert left[:5] == [(0, p), (1, p), (2, other), (2, "tail"), (2, "tail")]
+    assert left[5:] in ([(3, ""), (3, "head " + q), (4, "")], [(3, "head"), (3, q), (4, "")])
+    nothing = docs.limit(0)
+    assert substring_dedup.without_passages(nothing, substring_dedup.repeated_passages(nothing)).collect() == []
