@@ -247,3 +247,54 @@ def test_passages_of_ids_with_several_texts(spark):
     assert left[5:] in ([(3, ""), (3, "head " + q), (4, "")], [(3, "head"), (3, q), (4, "")])
     nothing = docs.limit(0)
     assert substring_dedup.without_passages(nothing, substring_dedup.repeated_passages(nothing)).collect() == []
+
+
+STAGE_ROWS = [
+    (1, " ".join(f"p{i}" for i in range(60)), "en", "a", 10),
+    (2, " ".join(f"p{i}" for i in range(60)) + " tail", "en", "a", 10),
+    (2, " ".join(f"o{i}" for i in range(80)), "en", "a", 10),
+    (3, " ".join(f"b{i}" for i in range(12)) + " end", "en", "a", 10),
+    (3, "a clean text of the same id", "en", "a", 10),
+    (3, "a clean text of the same id", "en", "a", 10),
+    (4, None, None, None, None),
+    (5, "", "en", "a", 0),
+    (None, "no id here at all", "en", "a", 10),
+]
+
+
+@pytest.fixture(scope="module")
+def stage_dir(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stages"))
+    items = [(1, " ".join(f"b{i}" for i in range(12))), (2, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def staged(spark, folder, name, rows=STAGE_ROWS):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("digest", F.lit(7)).withColumn("kept", F.lit(False))
+    found = dict(corpus_pipeline.STAGES)[name](spark, docs.repartition(3), folder)
+    if name != "packing":
+        assert found.columns == docs.columns
+    return sorted(((r.doc_id or 0, r.text or "") for r in found.select("doc_id", "text").collect())
+                  if name != "packing" else ((r.doc_id or 0, r.doc_tokens) for r in found.collect()))
+
+
+def test_stages_judge_each_text_of_an_id(spark, stage_dir):
+    every = sorted((r[0] or 0, r[1] or "") for r in STAGE_ROWS)
+    assert staged(spark, stage_dir, "quality") == every
+    without_copy = [x for x in every if not x[1].endswith("tail")]
+    assert staged(spark, stage_dir, "near_dedup") == without_copy
+    cut = [(i, t.replace(STAGE_ROWS[0][1], "") if i == 2 else t) for i, t in every]
+    assert sorted((i, t.strip()) for i, t in staged(spark, stage_dir, "substring_dedup")) == sorted(
+        (i, t.strip()) for i, t in cut
+    )
+    assert staged(spark, stage_dir, "decontamination") == [x for x in every if not x[1].startswith("b0")]
+    assert len(staged(spark, stage_dir, "packing")) >= len(every)
+
+
+@pytest.mark.parametrize("name", ["quality", "near_dedup", "substring_dedup", "decontamination", "packing"])
+def test_stages_on_empty_tables(spark, stage_dir, name):
+    assert staged(spark, stage_dir, name, []) == []
