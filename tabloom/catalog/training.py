@@ -19,7 +19,7 @@ from tabloom.operators.clean import fill_missing, row_weight, tag
 from tabloom.operators.encode import LabelEncoder
 from tabloom.operators.metrics import auc
 from tabloom.operators.scale import Standardise
-from tabloom.plans import load_run, prepare, run_plan
+from tabloom.plans import PRESETS, load_run, prepare, run_plan, run_presets
 from tabloom.session import shared_folder
 
 NUMERIC = ["total", "balance", "li_qty", "li_n"]
@@ -244,14 +244,32 @@ def subscriber_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(auc(fitted.out_of_fold(), by=["model", "fold"]))
 
 
+def customer_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as an external table: other rows than the orders, fewer columns, a key of their own."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), key).alias("customerID"),
+        F.when(key % 2 == 0, "Male").otherwise("Female").alias("gender"),
+        (nation % 6 == 0).cast("int").alias("SeniorCitizen"),
+        F.when(key % 3 == 0, "Yes").otherwise("No").alias("Partner"),
+        (key % 73).cast("int").alias("tenure"),
+        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "Month-to-month")
+        .otherwise("Two year")
+        .alias("Contract"),
+        F.when(nation % 5 == 0, "Electronic check").otherwise("Mailed check").alias("PaymentMethod"),
+        (F.abs("c_acctbal") / 100).alias("MonthlyCharges"),
+        F.col("c_acctbal").cast("string").alias("TotalCharges"),
+        F.when(F.col("c_acctbal") < 0, "Yes").otherwise("No").alias("Churn"),
+    )
+
+
 @query("run_plan")
 def run_plan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run: union, features, three models, weight grid, test scores."""
     frame = subscriber_frame(spark, sf_dir).drop("fold")
     train = frame.filter("split = 'train'").drop("split")
     test = frame.filter("split = 'test'").drop("split", "Churn")
-    external = train.filter("id % 50 = 1").withColumnRenamed("id", "customerID")
-    ready = prepare(train, test, external, folds=3)
+    ready = prepare(train, test, customer_list(spark, sf_dir), folds=3)
     models = {
         "boosted": _small_boost(),
         "deeper": tr.boosted(rounds=3, depth=4, min_rows=20, bins=64),
@@ -355,3 +373,35 @@ def planted_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_rows = base.filter("split = 'train'").count()
     rows = [(name, bool(holds), n_rows) for name, holds in zip(_HELD, held)]
     return spark.createDataFrame(rows, "name string, holds boolean, n_rows long")
+
+
+_PRESETS = [PRESETS[name].smaller(rounds=3, depth=3, folds=2) for name in ("fast", "quick", "baseline")]
+_VARIANTS = ", ".join(f"('{p.name}', '{v}', {not i})" for p in _PRESETS for i, v in enumerate(p.blends))
+
+
+@query(
+    "preset_runs",
+    f"""SELECT preset, variant, taken, count(*) AS n_scores, TRUE AS in_range, 1::BIGINT AS n_records
+    FROM (VALUES {_VARIANTS}) v(preset, variant, taken), orders WHERE o_orderkey % 5 = 0 GROUP BY ALL""",
+)
+def preset_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Presets with fewer rounds, end to end, and what they wrote: scores of each variant, a record each."""
+    frame = subscriber_frame(spark, sf_dir).drop("fold")
+    train = frame.filter("split = 'train'").drop("split")
+    test = frame.filter("split = 'test'").drop("split", "Churn")
+    path = f"{shared_folder(spark)}/tabloom/{uuid.uuid4().hex}"
+    board = run_presets(train, test, customer_list(spark, sf_dir), _PRESETS, path)
+    written = spark.read.schema("id long, score double, preset string, variant string").option("header", True)
+    scores = written.csv(f"{path}/variants")
+    counts = scores.groupBy("preset", "variant").agg(
+        F.countDistinct("id").alias("n_scores"),
+        F.min(F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("in_range"),
+    )
+    records = spark.read.json(f"{path}/records").groupBy(F.col("version").alias("preset")).agg(
+        F.count(F.lit(1)).alias("n_records")
+    )
+    return (
+        board.join(counts, ["preset", "variant"], "left")
+        .join(records, "preset", "left")
+        .select("preset", "variant", "taken", "n_scores", "in_range", "n_records")
+    )
