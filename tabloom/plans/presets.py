@@ -415,6 +415,8 @@ def _run_one(
 
 
 # -- the runs ----------------------------------------------------------------
+# Rates, rounds, depths, shares, leaf sizes, patience, search
+# ranges, folds, seeds, weights and grids of the runs.
 
 
 def _trio(rate: float, rounds: int, depths: Sequence[int], patience: int, **shares: float) -> dict[str, ModelSpec]:
@@ -495,5 +497,4 @@ _LISTED = (
     ),
 )
 
-#: Depths, rates, rounds, shares, weights and grids above are fixed values.
 PRESETS: dict[str, Preset] = {p.name: p for p in _LISTED}

@@ -42,6 +42,7 @@ MONTHLY_EDGES = {
 }
 TOTAL_EDGES = {"total_bin": [-1, 500, 1000, 2000, 4000, 6000, 999999]}
 
+# The flags that are crossed with numbers.
 CROSSED_FLAGS = ["month_to_month", "fiber", "echeck", "autopay", "dsl", "has_internet"]
 
 
@@ -122,6 +123,7 @@ def _crossed(flags: list[str], numbers: list[str]) -> tuple[str, ...]:
     return tuple(f"{flag}_x_{number}" for flag in flags for number in numbers)
 
 
+# The categories and pairs of them that statistics are taken by.
 _MAIN_KEYS = ["Contract", "InternetService", "PaymentMethod"]
 _KEY_PAIRS = [
     ("Contract", "InternetService"),
