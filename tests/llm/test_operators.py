@@ -348,6 +348,18 @@ def test_phrase_repeated_throughout_is_a_passage(monkeypatch):
         assert (0, 120, 0, 120, 1.0) in found
 
 
+def test_passages_of_repeated_phrases_do_not_depend_on_size(monkeypatch):
+    """Each place that a phrase repeated throughout can be laid on counts, however many equal pairs there are."""
+    a, b = np.full(150, 7, np.uint64), np.full(200, 7, np.uint64)
+    found = []
+    for matches in (1 << 22, 100, 0):
+        monkeypatch.setattr(substring_dedup, "MATCHES", matches)
+        runs = substring_dedup.equal_runs(a, b)
+        found.append(([x.tolist() for x in runs], substring_dedup.shared_passages(a, b, 5, 50, 0.8)))
+    assert found[0] == found[1] == found[2]
+    assert len(found[0][0][0]) == 349 and len(found[0][1]) == 51
+
+
 def test_shingles_of_many_parts():
     rng = np.random.default_rng(3)
     parts = [rng.integers(-(2**31), 2**31, n, dtype=np.int32) for n in (0, 3, 5, 90, 4, 0, 7)]
