@@ -27,10 +27,14 @@ from tabloom.session import materialise
 RAW = ["id", "split", "fold", "y"]
 
 
-def planned(spark: SparkSession, sf_dir: str, name: str) -> FeatureTable:
+def labelled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = normalise_target(subscriber_frame(spark, sf_dir), "Churn", out="y").drop("Churn")
     # Every fitted step reads the frame, which is a join of three tables.
-    return build_features(PLANS[name], materialise(frame))
+    return materialise(frame)
+
+
+def planned(spark: SparkSession, sf_dir: str, name: str) -> FeatureTable:
+    return build_features(PLANS[name], labelled_frame(spark, sf_dir))
 
 
 def digits(name: str) -> int | None:
@@ -266,8 +270,10 @@ def feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many feature columns and rows a plan gives."""
     names = ["fast", "baseline", "quick", "ensemble", "set_a", "set_c", "solo", "stacked"]
     parts = []
+    # The plans share their input.
+    frame = labelled_frame(spark, sf_dir)
     for name in names:
-        built = planned(spark, sf_dir, name)
+        built = build_features(PLANS[name], frame)
         parts.append(
             built.df.agg(
                 F.lit(name).alias("name"),
