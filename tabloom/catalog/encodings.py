@@ -15,6 +15,7 @@ from tabloom.operators.encode import (
 )
 from tabloom.operators.groupstats import GroupStats, StatBlock
 from tabloom.operators.scale import ClusterFeatures, Standardise
+from tabloom.session import materialise
 
 CATS = ["priority", "segment", "nation"]
 
@@ -253,7 +254,8 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cluster_features")
 def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = orders_frame(spark, sf_dir, lines=True)
+    # The scaler, the points and the result read the frame, which is a join of four tables.
+    base = materialise(orders_frame(spark, sf_dir, lines=True))
     model = ClusterFeatures(["total", "balance", "li_qty", "li_n"], ks=(5, 10), restarts=3).fit(
         _train(base)
     )
@@ -270,7 +272,7 @@ def cluster_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row has its nearest centre and the distance to it, and every
     centre is about the mean of the training rows that are nearest to it."""
     cols = ["total", "balance", "li_qty", "li_n"]
-    base = orders_frame(spark, sf_dir, lines=True)
+    base = materialise(orders_frame(spark, sf_dir, lines=True))
     model = ClusterFeatures(cols, ks=(5, 10), restarts=2).fit(_train(base))
     placed = model.scaler.transform(model.transform(base)).select(
         "id", "split", F.array(*[f"{c}__z" for c in cols]).alias("x"), *[f"cluster_{k}" for k in (5, 10)],
@@ -280,12 +282,16 @@ def cluster_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, centres in model.centres.items():
         listed = [(j, c.tolist()) for j, c in enumerate(centres)]
         table = F.broadcast(spark.createDataFrame(listed, "j int, c array<double>"))
-        square = F.aggregate(
-            F.zip_with("x", "c", lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda total, x: total + x
-        )
-        # As many rows per order as there are centres, which is a parameter.
-        far = placed.withColumn("js", F.sequence(F.lit(0), F.lit(k - 1))).withColumn("j", F.explode("js"))
-        least = far.join(table, "j").groupBy("id").agg(F.min(F.struct(F.sqrt(square).alias("d"), "j")).alias("near"))
+
+        def distance(c):
+            square = F.aggregate(
+                F.zip_with("x", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x
+            )
+            return F.sqrt(square)
+
+        # Every centre is tried inside the row, so no row per order and centre is made.
+        tried = [F.struct(distance(F.lit(c)).alias("d"), F.lit(j).alias("j")) for j, c in listed]
+        near = placed.filter("id IS NOT NULL").withColumn("near", F.array_min(F.array(*tried)))
         wrong = (F.col("near.j") != F.col(f"cluster_{k}")) | (F.abs(F.col("near.d") - F.col(f"cluster_{k}_dist")) > 1e-9)
         means = (
             placed.filter("split = 'train'")
@@ -296,7 +302,7 @@ def cluster_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .first()
         )
         parts.append(
-            placed.join(least, "id").agg(
+            near.agg(
                 F.lit(k).alias("k"),
                 F.count(F.lit(1)).alias("n_rows"),
                 F.count_if(wrong).alias("n_wrong"),
