@@ -256,9 +256,7 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The scaler, the points and the result read the frame, which is a join of four tables.
     base = materialise(orders_frame(spark, sf_dir, lines=True))
-    model = ClusterFeatures(["total", "balance", "li_qty", "li_n"], ks=(5, 10), restarts=3).fit(
-        _train(base)
-    )
+    model = ClusterFeatures(["total", "balance", "li_qty", "li_n"], ks=(5, 10)).fit(_train(base))
     columns = ["cluster_5", "cluster_5_dist", "cluster_10", "cluster_10_dist"]
     return rounded(model.transform(base).select("id", *columns))
 
