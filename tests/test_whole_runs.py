@@ -1,9 +1,14 @@
 """Queries that do their whole job, and what they leave on disk while they do."""
 
+import os
+
+import numpy as np
+import pandas as pd
 import pytest
 
 from tabloom.catalog import encodings
-from tabloom.operators import scale
+from tabloom.operators import blend, scale
+from tabloom.session import shared_folder
 
 
 class Seen(Exception):
@@ -53,3 +58,32 @@ def test_cluster_features_takes_all_restarts_from_one_copy_of_the_points(spark,
     with pytest.raises(Seen):
         encodings.cluster_features(spark, tables)
     assert cached == [True] * 20
+
+
+def kept_tables(spark):
+    folder = f"{shared_folder(spark)}/tabloom"
+    return {f"{folder}/{name}" for name in (os.listdir(folder) if os.path.isdir(folder) else [])}
+
+
+def test_a_search_compares_in_bounded_steps_and_leaves_no_table(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = pd.DataFrame({"a": rng.random(600), "b": rng.random(600), "y": (rng.random(600) < 0.4).astype(int)})
+    grid, table = blend.grid2(), spark.createDataFrame(df)
+    whole = blend.grid_blend(table, ["a", "b"], "y", grid)
+    monkeypatch.setattr(blend, "BOUND_BINS", (8,))
+    monkeypatch.setattr(blend, "LEAST_EXACT", 0)
+    sizes, compared = [], blend.compared
+
+    def counted(rows, weights, cells):
+        sizes.append((len(cells), sum(int(c.mass.sum()) for c in cells.values())))
+        return compared(rows, weights, cells)
+
+    monkeypatch.setattr(blend, "compared", counted)
+    before = kept_tables(spark)
+    best = blend.grid_blend(table, ["a", "b"], "y", grid)
+    assert (best.w_id, best.auc) == (whole.w_id, whole.auc)
+    assert len(sizes) > 1 and all(mass <= 4 * len(df) or n == 1 for n, mass in sizes)
+    assert sum(n for n, _ in sizes) == best.exact_candidates
+    assert blend.blend_aucs(table, ["a", "b"], "y", grid).count() == len(grid)
+    blend.hill_climb(table, ["a", "b"], "y", max_add=1)
+    assert kept_tables(spark) == before
