@@ -1,12 +1,13 @@
 """Queries that do their whole job, and what they leave on disk while they do."""
 
 import os
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from tabloom.catalog import encodings
+from tabloom.catalog import encodings, training
 from tabloom.operators import blend, scale
 from tabloom.session import shared_folder
 
@@ -87,3 +88,15 @@ def test_a_search_compares_in_bounded_steps_and_leaves_no_table(spark, monkeypat
     assert blend.blend_aucs(table, ["a", "b"], "y", grid).count() == len(grid)
     blend.hill_climb(table, ["a", "b"], "y", max_add=1)
     assert kept_tables(spark) == before
+
+
+def test_a_run_deletes_features_and_vectors_once_they_are_scored(spark, tables):
+    before = kept_tables(spark)
+    row = training.kept_run(spark, tables).first()
+    assert (row.n_rows, row.n_differ, row.same_features, row.n_bare) == (80, 0, True, 80)
+    wide = []
+    for path in kept_tables(spark) - before:
+        if list(Path(path).rglob("*.parquet")) and not os.path.isdir(f"{path}/manifest"):
+            left = spark.read.parquet(path)
+            wide += [left.columns] * ("__features" in left.columns or "MonthlyCharges" in left.columns and left.count() > 80)
+    assert wide == []
